@@ -1,0 +1,63 @@
+"""Queries of the corpus operators over the project's tables; SQL is in sql.py beside this module."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import lookalikes, markup, splitting
+from ledgerline.sources.tables import table
+
+
+def records(spark: SparkSession, d: str) -> DataFrame:
+    """(record_kind, record_key, text) of documents and 6-K snippets; repeated rows are left in."""
+    documents = table(spark, d, "documents", "doc_id", "text").select(F.lit("document").alias("record_kind"), F.col("doc_id").cast("string").alias("record_key"), "text")
+    snippets = table(spark, d, "sixk_snippets", "item_id", "text").select(F.lit("snippet").alias("record_kind"), F.col("item_id").alias("record_key"), "text")
+    return documents.unionByName(snippets)
+
+
+def split_records(spark: SparkSession, d: str) -> DataFrame:
+    """records with their pieces under the split limits of size_limits (three rows, hence the broadcast)."""
+    limits = table(spark, d, "size_limits").where("purpose = 'split' and size_unit = 'chars'").select("record_kind", "max_size", "overlap_size")
+    sized = records(spark, d).join(F.broadcast(limits), "record_kind")
+    return splitting.split_pieces(sized, "text", F.col("max_size"), F.col("overlap_size"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Records that the splitter cuts into more than one piece."""
+    return split_records(spark, d).where(F.size("pieces") > 1).select("record_kind", "record_key").distinct()
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of every record, with its offsets and the kind of boundary it ends at."""
+    rows = split_records(spark, d).select("record_kind", "record_key", "text", "pieces").where("text is not null")
+    return splitting.explode_pieces(rows.dropDuplicates(["record_kind", "record_key", "text"]), "text")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.marked_keys(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's clean text and the kinds of markup it had."""
+    return markup.strip_markup(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text").select("doc_id", F.array_join("kinds", ",").alias("kinds"), "clean_text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = lookalikes.lookalike_pairs(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    return pairs.select(F.col("key_a").alias("doc_id_a"), F.col("key_b").alias("doc_id_b"))
+
+
+def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text in its consistent form."""
+    return lookalikes.canonical_texts(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+QUERIES = {
+    "p4_found": p4_found,
+    "p4_pieces": p4_pieces,
+    "p6_found": p6_found,
+    "p6_clean": p6_clean,
+    "p9_found": p9_found,
+    "p9_canonical": p9_canonical,
+}
