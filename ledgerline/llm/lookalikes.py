@@ -30,6 +30,13 @@ HYPHENS = "\u2010\u2011\ufe63"
 
 FULL_WIDTH = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 SINGLE = {**CYRILLIC, **GREEK, **FULL_WIDTH, **dict.fromkeys(SPACES, " "), **dict.fromkeys(HYPHENS, "-")}
+_BASE = str.maketrans(SINGLE)
+# The same letters with accents: a Cyrillic letter with diaeresis looks like the Latin one with it.
+SINGLE.update(
+    (chr(c), alike)
+    for c in (*range(0x370, 0x530), *range(0x1F00, 0x2000))
+    if len(alike := unicodedata.normalize("NFC", (parts := unicodedata.normalize("NFD", chr(c))).translate(_BASE))) == 1 and len(parts) > 1 and alike not in (chr(c), unicodedata.normalize("NFC", chr(c)))
+)
 ACCENTED = {
     chr(c): base[0]
     for c in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000))
@@ -46,8 +53,7 @@ def mapped_text(text: str | None) -> str | None:
     """The mapped form in Python, composed (NFC): what ``mapped`` gives, for use inside other Python stages."""
     if text is None or text.isascii():
         return text
-    decomposed = unicodedata.normalize("NFD", text).translate(_TABLE)
-    return unicodedata.normalize("NFC", decomposed)
+    return unicodedata.normalize("NFC", text.translate(_TABLE))
 
 
 def _translate(column: Column, table: dict[str, str], dropped: str = "") -> Column:

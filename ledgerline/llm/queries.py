@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import lookalikes, markup, splitting
+from ledgerline.llm import lookalikes, markup, neardup, splitting
 from ledgerline.sources.tables import table
 
 
@@ -23,6 +23,12 @@ def split_records(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_pieces(sized, "text", F.col("max_size"), F.col("overlap_size"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicate documents (compared as they look) and snippets: runs of three words, 0.7."""
+    rows = records(spark, d).select(F.col("record_kind").alias("kind"), F.col("record_key").alias("key"), "text")
+    return neardup.near_duplicate_pairs(rows, 3, 0.7, looks="document").withColumnRenamed("kind", "record_kind")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Records that the splitter cuts into more than one piece."""
     return split_records(spark, d).where(F.size("pieces") > 1).select("record_kind", "record_key").distinct()
@@ -54,6 +60,7 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
     "p6_found": p6_found,
