@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import lookalikes, markup, neardup, splitting
+from ledgerline.llm import lookalikes, markup, names, neardup, splitting
 from ledgerline.sources.tables import table
 
 
@@ -23,6 +23,29 @@ def split_records(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_pieces(sized, "text", F.col("max_size"), F.col("overlap_size"))
 
 
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    """(scope, name, owner): issuers and named parties under scope party, instruments under their issuer's cik."""
+    rows = table(spark, d, "mentions", "cik", "company_name", "name", "parties_json")
+    cik = F.when(F.trim("cik") != "", F.lpad(F.regexp_replace(F.trim("cik"), "^0+", ""), 10, "0"))
+    rows = rows.withColumn("cik", cik)
+    issuers = rows.select(F.lit("party").alias("scope"), F.col("company_name").alias("name"), F.col("cik").alias("owner"))
+    instruments = rows.where("cik is not null").select(F.col("cik").alias("scope"), "name", F.lit(None).cast("string").alias("owner"))
+    parties = F.from_json("parties_json", "array<struct<canonical_name: string, kind: string>>")
+    named = rows.select(F.explode(parties).alias("p")).where("p.kind = 'named'").select(F.lit("party").alias("scope"), F.col("p.canonical_name").alias("name"), F.lit(None).cast("string").alias("owner"))
+    return issuers.distinct().unionByName(instruments.distinct()).unionByName(named.distinct())
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variant_pairs(names.link_variants(_names(spark, d)))
+
+
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with the entity it names (a hash of its form) and that entity's number of spellings."""
+    linked = names.link_variants(_names(spark, d))
+    sizes = linked.groupBy("scope", "entity").agg(F.count("*").alias("spellings"))
+    return linked.join(sizes, ["scope", "entity"])
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicate documents (compared as they look) and snippets: runs of three words, 0.7."""
     rows = records(spark, d).select(F.col("record_kind").alias("kind"), F.col("record_key").alias("key"), "text")
@@ -60,6 +83,8 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_entities": p1_entities,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
