@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.plans import domain
+
 FLAGSHIP = "entity_rollup"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**domain.QUERIES}
 SQL: dict[str, str] = {}
