@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import lookalikes, shingles, tables
+from ledgerline.operators.graph import connected_components
 from ledgerline.plans.lineage import cut
 
 #: Cells of the table of counts (2 bytes each) and bits of the candidates' bitmap: fixed sizes.
@@ -45,8 +46,8 @@ def _prefix(n: int, t: float) -> int:
     return n - math.ceil(t * n - 1e-6) + 1
 
 
-def _hashed(batch: pa.RecordBatch, width: int, looks: str | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, word hashes, run hashes in order) of each non-null text; kinds never share a hash."""
+def _hashed(batch: pa.RecordBatch, looks: str | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, word hashes) of each non-null text; kinds never share a hash, and an empty text has one."""
     kinds = batch["kind"].to_pylist()
     for i, text in enumerate(batch["text"].to_pylist()):
         if text is None:
@@ -55,7 +56,7 @@ def _hashed(batch: pa.RecordBatch, width: int, looks: str | None) -> Iterator[tu
             text = lookalikes.mapped_text(text)
         words = shingles.word_hashes(text)
         salt = np.uint64(shingles._memo["\x00" + kinds[i]])
-        yield i, words ^ salt if words.size else np.array([salt], dtype=np.uint64), shingles.runs(words ^ salt, width) if words.size else np.array([salt], dtype=np.uint64)
+        yield i, words ^ salt if words.size else np.array([salt], dtype=np.uint64)
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
@@ -67,33 +68,39 @@ def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (spread >> np.uint64(3)).astype(np.int64), np.left_shift(1, (spread & np.uint64(7)).astype(np.int64)).astype(np.uint8)
 
 
-def classes(df: DataFrame, width: int, looks: str | None) -> DataFrame:
-    """(kind, key, c1, c2): the class of every non-null text of df (kind, key, text)."""
+_CLASSES = "kind string, key string, c1 long, c2 long, range int, cells binary"
+
+
+def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np.ndarray]:
+    """((kind, key, c1, c2), counts): every non-null text of df (kind, key, text) with its class, and
+    how often runs fall into each cell of the table of counts. One pass over the texts gives both."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(COUNT_CELLS, dtype=np.uint16)
         for batch in batches:
-            rows, ones, twos = [], [], []
-            for i, words, _ in _hashed(batch, width, looks):
+            rows, ones, twos, found = [], [], [], []
+            for i, words in _hashed(batch, looks):
                 one, two = shingles.content_hash(words)
                 rows.append(i)
                 ones.append(one)
                 twos.append(two)
+                found.append(_cells(shingles.runs(words, width)))
+            if not rows:
+                continue
+            added = np.bincount(np.concatenate(found), minlength=COUNT_CELLS)
+            np.minimum(added + cells, 65535, out=added)
+            cells = added.astype(np.uint16)
             kept = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept["kind"], kept["key"], pa.array(ones, pa.int64()), pa.array(twos, pa.int64())], ["kind", "key", "c1", "c2"])
-
-    return df.select("kind", "key", "text").mapInArrow(work, "kind string, key string, c1 long, c2 long").distinct()
-
-
-def run_counts(df: DataFrame, width: int, looks: str | None) -> np.ndarray:
-    """How often runs fall into each cell, over all texts; each text counts a run once or oftener."""
+            yield pa.RecordBatch.from_arrays(
+                [kept["kind"], kept["key"], pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], ["kind", "key", "c1", "c2", "range", "cells"]
+            )
+        at, blobs = tables.slices(cells)
+        blank = [pa.nulls(len(at), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*blank, pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "key", "c1", "c2", "range", "cells"])
 
-    def add(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        found = [_cells(runs) for _, _, runs in _hashed(batch, width, looks)]
-        if found:
-            at, n = np.unique(np.concatenate(found), return_counts=True)
-            cells[at] = np.minimum(cells[at].astype(np.int64) + n, 65535)
-
-    return tables.fixed_table(df.select("kind", "text"), add, COUNT_CELLS, "uint16", "sum")
+    both = cut(df.select("kind", "key", "text").mapInArrow(work, _CLASSES))
+    counts = tables.combined(both.where("range is not null"), COUNT_CELLS, "uint16", "sum")
+    return both.where("range is null").select("kind", "key", "c1", "c2").distinct(), counts
 
 
 def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> Callable:
@@ -104,13 +111,13 @@ def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> C
         seen: set[int] = set()
         for batch in batches:
             ids, sizes, firsts, places, positions = [], [], [], [], []
-            for _, words, runs in _hashed(batch, width, looks):
+            for _, words in _hashed(batch, looks):
                 one, _ = shingles.content_hash(words)
                 if one in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(one)
-                own = np.unique(runs)
+                own = shingles.shingle_set(words, width)
                 take = _prefix(own.size, t)
                 order = np.lexsort((own, often[_cells(own)]))[:take]
                 firsts.append(own[order])
@@ -295,13 +302,13 @@ def _run_sets(df: DataFrame, width: int, looks: str | None, bitmap) -> DataFrame
         bits = bitmap.value
         for batch in batches:
             ones, twos, sets = [], [], []
-            for _, words, runs in _hashed(batch, width, looks):
+            for _, words in _hashed(batch, looks):
                 one, two = shingles.content_hash(words)
                 byte, bit = _bits(np.array([one], dtype=np.int64))
                 if bits[byte[0]] & bit[0]:
                     ones.append(one)
                     twos.append(two)
-                    sets.append(np.unique(runs).tobytes())
+                    sets.append(shingles.shingle_set(words, width).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array(sets, pa.binary())], ["c1", "c2", "runs"])
 
     rows = df.select("kind", "text").mapInArrow(work, "c1 long, c2 long, runs binary")
@@ -320,16 +327,17 @@ def _verified(pairs: DataFrame, t: float) -> DataFrame:
     return pairs.mapInArrow(work, kept)
 
 
-def class_pairs(df: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, looks: str | None = None, ranges: int | None = None) -> DataFrame:
+def class_pairs(df: DataFrame, counts: np.ndarray, width: int = WIDTH, threshold: float = THRESHOLD, looks: str | None = None, ranges: int | None = None) -> DataFrame:
     """(a1, a2, b1, b2, similarity): every pair of different classes that reaches the threshold.
 
-    df has kind, key and text; only rows of one kind are compared with each other. Texts of kind
-    `looks` are compared as they look (see lookalikes). Null texts take no part.
+    df has kind, key and text, counts is the table made by classes(); only rows of one kind are
+    compared with each other. Texts of kind `looks` are compared as they look (see lookalikes).
+    Null texts take no part.
     """
     spark: SparkSession = df.sparkSession
     sc = spark.sparkContext
     ranges = ranges or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = sc.broadcast(run_counts(df, width, looks))
+    counts = sc.broadcast(counts)
     postings = df.select("kind", "text").mapInArrow(_postings(width, threshold, looks, counts, ranges), _POSTINGS)
     matches = cut(postings.repartition(ranges, "range").mapInArrow(_join(threshold), _MATCHES))
     hot = matches.where("work is not null").select("work").repartition(ranges)
@@ -354,8 +362,9 @@ def near_duplicate_pairs(df: DataFrame, width: int, threshold: float, looks: str
     Rows repeated with one key and text count once. Null texts take no part; two empty texts are
     equal texts. Texts shorter than `width` words have one run, of all their words.
     """
-    member = cut(classes(df, width, looks))
-    linked = cut(class_pairs(df, width, threshold, looks))
+    member, counts = classes(df, width, looks)
+    member = cut(member)
+    linked = cut(class_pairs(df, counts, width, threshold, looks))
     a, b = member.alias("a"), member.alias("b")
     several = member.groupBy("c1", "c2").agg(F.min("key").alias("_low"), F.max("key").alias("_high")).where("_low <> _high").select("c1", "c2")
     copies = member.join(several, ["c1", "c2"], "left_semi")
@@ -367,3 +376,20 @@ def near_duplicate_pairs(df: DataFrame, width: int, threshold: float, looks: str
         .select("a.kind", F.least("a.key", "b.key").alias("key_a"), F.greatest("a.key", "b.key").alias("key_b"))
     )
     return same.unionByName(across).distinct()
+
+
+def near_duplicate_groups(df: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, looks: str | None = None) -> DataFrame:
+    """(kind, key, class_id, copies, links, group_id): one row per row of df with a text.
+
+    class_id names the class of equal texts, copies is its number of rows, links the number of other
+    classes within the threshold of it, and group_id the group of classes connected by links.
+    """
+    member, counts = classes(df, width, looks)
+    member = cut(member.withColumn("class_id", F.concat_ws("-", F.lower(F.hex("c1")), F.lower(F.hex("c2")))))
+    name = lambda one, two: F.concat_ws("-", F.lower(F.hex(one)), F.lower(F.hex(two)))
+    linked = cut(class_pairs(df, counts, width, threshold, looks).select(name("a1", "a2").alias("a"), name("b1", "b2").alias("b")))
+    links = linked.select(F.col("a").alias("class_id")).unionByName(linked.select(F.col("b").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("links"))
+    groups = connected_components(linked, "a", "b").select(F.col("node").alias("class_id"), F.col("component").alias("group_id"))
+    copies = member.groupBy("class_id").agg(F.count("*").alias("copies"))
+    rows = member.join(copies, "class_id").join(links, "class_id", "left").join(groups, "class_id", "left")
+    return rows.select("kind", "key", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("group_id", "class_id").alias("group_id"))

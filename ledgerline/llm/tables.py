@@ -18,24 +18,19 @@ from pyspark.sql import functions as F
 RANGES = 32
 
 
-def fixed_table(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int, dtype: str, combine: str) -> np.ndarray:
-    """The table of `size` cells that add(batch, cells) fills, over all of df's rows.
+def slices(cells: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """The non-zero slices of a task's cells, compressed, with their range numbers."""
+    parts = cells.reshape(RANGES, -1)
+    kept = [i for i in range(RANGES) if parts[i].any()]
+    return kept, [zlib.compress(parts[i].tobytes(), 1) for i in kept]
 
-    add is called with each Arrow batch and the task's own cells (dtype); the tasks' cells are
-    combined by "sum" (saturating) or "or".
-    """
+
+def combined(parts: DataFrame, size: int, dtype: str, combine: str) -> np.ndarray:
+    """The table made of all tasks' slices: parts has the columns range and cells; combine is "sum" (saturating) or "or"."""
     if size % RANGES:
         raise ValueError(f"size must be a multiple of {RANGES}")
     most = np.iinfo(dtype).max
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(size, dtype=dtype)
-        for batch in batches:
-            add(batch, cells)
-        slices = cells.reshape(RANGES, -1)
-        kept = [i for i in range(RANGES) if slices[i].any()]
-        yield pa.RecordBatch.from_pydict({"range": pa.array(kept, pa.int32()), "cells": pa.array([zlib.compress(slices[i].tobytes(), 1) for i in kept], pa.binary())})
-
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -52,8 +47,24 @@ def fixed_table(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None]
                 {"range": pa.array(list(sums), pa.int32()), "cells": pa.array([zlib.compress(np.minimum(x, most).astype(dtype).tobytes(), 1) for x in sums.values()], pa.binary())}
             )
 
-    parts = df.mapInArrow(partial, "range int, cells binary").repartition(F.col("range")).mapInArrow(whole, "range int, cells binary")
+    added = parts.select("range", "cells").repartition(F.col("range")).mapInArrow(whole, "range int, cells binary")
     table = np.zeros((RANGES, size // RANGES), dtype=dtype)
-    for row in parts.collect():
+    for row in added.collect():
         table[row["range"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype=dtype)
     return table.reshape(-1)
+
+
+def fixed_table(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int, dtype: str, combine: str) -> np.ndarray:
+    """The table of `size` cells that add(batch, cells) fills, over all of df's rows.
+
+    add is called with each Arrow batch and the task's own cells (dtype).
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(size, dtype=dtype)
+        for batch in batches:
+            add(batch, cells)
+        kept, blobs = slices(cells)
+        yield pa.RecordBatch.from_pydict({"range": pa.array(kept, pa.int32()), "cells": pa.array(blobs, pa.binary())})
+
+    return combined(df.mapInArrow(partial, "range int, cells binary"), size, dtype, combine)
