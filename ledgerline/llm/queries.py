@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import lookalikes, markup, names, neardup, splitting
+from ledgerline.llm import lookalikes, markup, mixing, names, neardup, packing, splitting, tokens
+from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
 
 
@@ -52,6 +53,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicate_pairs(rows, 3, 0.7, looks="document").withColumnRenamed("kind", "record_kind")
 
 
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Groups of near-duplicates among documents and snippets: runs of five words, 0.8."""
+    rows = records(spark, d).select(F.col("record_kind").alias("kind"), F.col("record_key").alias("key"), "text")
+    return neardup.near_duplicate_groups(rows, looks="document").withColumnRenamed("kind", "record_kind").withColumnRenamed("key", "record_key")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Records that the splitter cuts into more than one piece."""
     return split_records(spark, d).where(F.size("pieces") > 1).select("record_kind", "record_key").distinct()
@@ -72,6 +79,41 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.strip_markup(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text").select("doc_id", F.array_join("kinds", ",").alias("kinds"), "clean_text")
 
 
+def sized_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """(doc_id, columns, n_tokens) of every document; tokenized once, since sizes are read several times."""
+    rows = table(spark, d, "documents", "doc_id", *columns, "text").withColumn("n_tokens", tokens.token_count("text"))
+    return cut(rows.select("doc_id", *columns, "n_tokens"))
+
+
+def _filled(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
+    limit = table(spark, d, "size_limits").where("purpose = 'pack' and record_kind = 'document' and size_unit = 'tokens'").first()["max_size"]
+    return packing.fill_containers(sized_documents(spark, d), "doc_id", "n_tokens", limit), limit
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, or piece of a document above the limit, with its container."""
+    return _filled(spark, d)[0]
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Number of containers and share of their space left unused."""
+    return packing.fill_report(*_filled(spark, d))
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(sized_documents(spark, d, "source"), "doc_id", "source", "n_tokens", table(spark, d, "source_targets"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of the mixture with the number of times it appears."""
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target, wanted and actual share of every source."""
+    return _mixed(spark, d)[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = lookalikes.lookalike_pairs(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
     return pairs.select(F.col("key_a").alias("doc_id_a"), F.col("key_b").alias("doc_id_b"))
@@ -86,10 +128,15 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_entities": p1_entities,
     "p3_found": p3_found,
+    "p3_groups": p3_groups,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
     "p6_found": p6_found,
     "p6_clean": p6_clean,
+    "p7_containers": p7_containers,
+    "p7_report": p7_report,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_canonical": p9_canonical,
 }
