@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import domain
+from ledgerline.plans import domain, relational
 
 FLAGSHIP = "entity_rollup"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**domain.QUERIES}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**relational.QUERIES, **domain.QUERIES}
+SQL: dict[str, str] = {**relational.SQL}
