@@ -10,4 +10,4 @@ from ledgerline.plans import domain, relational
 
 FLAGSHIP = "entity_rollup"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**relational.QUERIES, **domain.QUERIES}
-SQL: dict[str, str] = {**relational.SQL}
+SQL: dict[str, str] = {**relational.SQL, **domain.SQL}

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import hierarchy, units
+from ledgerline.operators import classify, hierarchy, matching, publish, segmenting, units
+from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
+from ledgerline.streaming import stages
 
 
 def _amounts(spark: SparkSession, d: str) -> DataFrame:
@@ -51,4 +53,90 @@ def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.descendants(_pointers(spark, d)).select(F.col("tree").alias("link_field"), "ancestor", "descendant", "distance")
 
 
-QUERIES = {"p2_found": p2_found, "p2_amounts": p2_amounts, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants}
+def p2_scales(spark: SparkSession, d: str) -> DataFrame:
+    """The unit of every recording source as a power of ten of the text's, from robust pairwise factors."""
+    rows = _amounts(spark, d).withColumn("entity", F.concat_ws("|", "debt_instrument_mention_id", "slot"))
+    said = rows.select("entity", F.lit("text").alias("unit_source"), F.col("stated_amount").alias("value"))
+    recorded = rows.select("entity", F.col("source").alias("unit_source"), F.col("recorded_amount").alias("value"))
+    scales = units.pairwise_scales(cut(said.unionByName(recorded)), "entity", "unit_source", "value")
+    return units.propagate_scales(cut(scales), "text")
+
+
+def instrument_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions clustered into instruments: member, related and ambiguous edges."""
+    return matching.cluster(table(spark, d, "mentions"))
+
+
+def instrument_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """One row per instrument with provenance."""
+    mentions = table(spark, d, "mentions")
+    return matching.instruments(mentions, cut(matching.cluster(mentions)))
+
+
+def instrument_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Families of instruments along amendment pointers, what supersedes each, and the heads."""
+    mentions = table(spark, d, "mentions")
+    edges = cut(matching.cluster(mentions))
+    links = cut(matching.parent_links(mentions, edges, "amendment_of"))
+    return matching.lifecycle(links, edges.where("edge_type = 'member'").select("instrument_id").distinct())
+
+
+def inferred_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Restated agreements linked to the predecessor their names imply."""
+    m = table(spark, d, "mentions", "debt_instrument_mention_id", "cik", "name", "date", "start_date").where("cik is not null").distinct()
+    return matching.ordinal_links(m.select(F.col("debt_instrument_mention_id").alias("id"), "cik", "name", F.col("date").alias("first_seen"), F.col("start_date").alias("start")))
+
+
+def item_sections(spark: SparkSession, d: str) -> DataFrame:
+    """The item sections of every document."""
+    return segmenting.itemize(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def text_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Every document in windows of bounded size, as spans with their source's check value."""
+    return segmenting.split_windows(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def item_relevance(spark: SparkSession, d: str) -> DataFrame:
+    """Every item's relevance as scored by a classifier fitted on a bounded sample of the labelled ones."""
+    items = table(spark, d, "classifications", "item_id", "text", "relevance").dropDuplicates(["item_id"])
+    return classify.fit(items, "item_id", "text", "relevance").score(items, "text").select("item_id", "classification_score", "verdict")
+
+
+CONTRACT = {"item_id": "string", "accession_number": "string", "cik": "string", "label": "string", "classification_score": "double", "section_char_count": "bigint", "form_type": "string"}
+
+
+def published_items(spark: SparkSession, d: str) -> DataFrame:
+    """Cited items of both genres under the published contract."""
+    both = table(spark, d, "classifications").withColumn("form_type", F.lit("8-K")).unionByName(table(spark, d, "sixk_snippets").withColumn("form_type", F.lit("6-K")), allowMissingColumns=True)
+    return publish.conform(both.join(table(spark, d, "mentions", "item_id"), "item_id", "left_semi"), CONTRACT).distinct()
+
+
+def stream_poll_state(spark: SparkSession, d: str) -> DataFrame:
+    """State of every entity after one tick over the events."""
+    schema = table(spark, d, "events").schema
+    return stages.poll(spark, f"{d}/events.parquet*", schema, stages.fresh_folder(spark, "checkpoint"), stages.fresh_folder(spark, "states"))
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants,
+    "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
+    "item_sections": item_sections, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
+}
+SQL = {
+    "published_items": """
+        with i as (select item_id, accession_number, cik, label, classification_score, section_char_count, '8-K' form_type from classifications
+                   union all select item_id, accession_number, cik, label, classification_score, section_char_count, '6-K' from sixk_snippets)
+        select distinct item_id, accession_number, nullif(trim(cik), '') cik, nullif(trim(label), '') as label, classification_score, section_char_count, form_type from i where item_id in (select item_id from mentions)""",
+    "stream_poll_state": """
+        select cast(user_id as varchar) entity, count(*) as events, arg_max(event_type, (ts, event_id)) last_kind, count(*) filter (event_type = 'error') rounds, count(*) filter (event_type = 'error') >= 3 closed
+        from events group by 1""",
+    "p5_found": """
+        with recursive e as (select distinct 'amendment_of' f, debt_instrument_mention_id n, amendment_of p from mentions where amendment_of in (select debt_instrument_mention_id from mentions)
+                             union select distinct 'split_of', debt_instrument_mention_id, split_of from mentions where split_of in (select debt_instrument_mention_id from mentions)),
+        w(f, n, top) as (select f, n, p from e union select w.f, w.n, e.p from w join e on e.f = w.f and e.n = w.top),
+        done as (select w.f, w.n, w.top from w where not exists (select 1 from e where e.f = w.f and e.n = w.top)),
+        cyc as (select f, n from w where n = top)
+        select f link_field, n debt_instrument_mention_id, top top_mention_id from done
+        union select w.f, w.n, min(w.top) from w join cyc on cyc.f = w.f and cyc.n = w.top group by 1, 2""",
+}
