@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Expected items of a group; the hash keeps groups close to it, whatever the data.
 GROUP_ITEMS = 1024
+#: Groups packed by one task.
+GROUPS_A_TASK = 4
 #: An exchange that takes no more than this above the need is taken without looking further.
 EXCHANGE_NEAR = 4
 _sum = itemgetter(0)
@@ -148,7 +150,9 @@ def fill_containers(items: DataFrame, key: str, size: str, capacity: int, group_
         container = rows["_group"].astype(str) + "-" + number.astype(str)
         return pd.DataFrame({"container": container, key: rows["_key"], "piece_no": rows["piece_no"], "piece_start": rows["piece_start"], "piece_size": rows["piece_size"]})
 
-    return grouped.select("_group", "_key", "piece_no", "piece_start", "piece_size").groupBy("_group").applyInPandas(
+    # few bytes but much work a row: the number of tasks follows the groups, not the bytes
+    spread = grouped.select("_group", "_key", "piece_no", "piece_start", "piece_size").repartition(max(1, groups // GROUPS_A_TASK), "_group")
+    return spread.groupBy("_group").applyInPandas(
         work, f"container string, `{key}` {kept}, piece_no int, piece_start long, piece_size long"
     )
 
