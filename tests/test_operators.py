@@ -48,11 +48,12 @@ def test_coercion(spark):
     assert one(spark, text.shard(F.col("t")), t="000114036126006577").isdigit()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1000])
+def test_components(spark, local):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("z", "z"), (None, "q"), ("c", "a"), *((f"k{i:03}", f"k{i + 1:03}") for i in range(50))], "a string, b string")
-    found = {r.node: r.component for r in graph.connected_components(edges, "a", "b").collect()}
+    found = {r.node: r.component for r in graph.connected_components(edges, "a", "b", local_edges=local).collect()}
     assert found["c"] == "a" and found["y"] == "x" and found["z"] == "z" and found["k050"] == "k000" and "q" not in found
-    assert graph.connected_components(edges.limit(0), "a", "b").count() == 0
+    assert graph.connected_components(edges.limit(0), "a", "b", local_edges=local).count() == 0
 
 
 def test_islands_and_digests(spark):
@@ -110,7 +111,7 @@ def test_blocks_do_not_change_the_result(spark):
     size = {r.fingerprint: r.class_size for r in matching.class_sizes(prepared, pairs).collect()}
     records = [{**r.asDict(), "class_size": size[r.fingerprint]} for r in prepared.collect()]
     whole = {}
-    for m, c, kind, *_ in matching.cluster_block(records, lambda a, b: a == b or b in near.get(a, ())):
+    for m, c, kind, *_ in matching.cluster_block(records, lambda a: near.get(a, set()) | {a}):
         if kind == "member":
             whole.setdefault(c, set()).add(m)
     assert {frozenset(v) for v in whole.values()} == found
