@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import classify, hierarchy, matching, publish, segmenting, units
+from ledgerline.operators import classify, hierarchy, identity, matching, publish, segmenting, units
 from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
 from ledgerline.streaming import stages
@@ -103,6 +103,21 @@ def item_relevance(spark: SparkSession, d: str) -> DataFrame:
     return classify.fit(items, "item_id", "text", "relevance").score(items, "text").select("item_id", "classification_score", "verdict")
 
 
+def resolved_redirects(spark: SparkSession, d: str) -> DataFrame:
+    """Every id that was replaced, led to the live id at the end of its redirects."""
+    rows = table(spark, d, "mentions", "debt_instrument_mention_id", "split_of").distinct()
+    redirects = rows.where("split_of is not null").select(F.col("debt_instrument_mention_id").alias("old_id"), F.col("split_of").alias("new_id"))
+    return identity.resolve_redirects(redirects, rows.where("split_of is null").select(F.col("debt_instrument_mention_id").alias("instrument_id")))
+
+
+def carried_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Instrument ids kept when the mentions of the last months join the clustering."""
+    mentions = table(spark, d, "mentions")
+    items = mentions.select(F.col("debt_instrument_mention_id").alias("mention_id"), "item_id").distinct()
+    members = lambda rows: cut(matching.cluster(rows).where("edge_type = 'member'").select("instrument_id", "mention_id").join(items, "mention_id"))
+    return identity.carry_over(members(mentions), members(mentions.where("date < '2025-06-01'")))
+
+
 CONTRACT = {"item_id": "string", "accession_number": "string", "cik": "string", "label": "string", "classification_score": "double", "section_char_count": "bigint", "form_type": "string"}
 
 
@@ -120,7 +135,7 @@ def stream_poll_state(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants,
-    "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
+    "resolved_redirects": resolved_redirects, "carried_ids": carried_ids, "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
     "item_sections": item_sections, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
 }
 SQL = {
@@ -128,6 +143,11 @@ SQL = {
         with i as (select item_id, accession_number, cik, label, classification_score, section_char_count, '8-K' form_type from classifications
                    union all select item_id, accession_number, cik, label, classification_score, section_char_count, '6-K' from sixk_snippets)
         select distinct item_id, accession_number, nullif(trim(cik), '') cik, nullif(trim(label), '') as label, classification_score, section_char_count, form_type from i where item_id in (select item_id from mentions)""",
+    "resolved_redirects": """
+        with recursive e as (select distinct debt_instrument_mention_id n, split_of p from mentions where split_of is not null and split_of <> debt_instrument_mention_id),
+        live as (select distinct debt_instrument_mention_id n from mentions where split_of is null),
+        w(n, top) as (select n, p from e union select w.n, e.p from w join e on e.n = w.top)
+        select distinct w.n old_id, w.top new_id from w join live on live.n = w.top""",
     "stream_poll_state": """
         select cast(user_id as varchar) entity, count(*) as events, arg_max(event_type, (ts, event_id)) last_kind, count(*) filter (event_type = 'error') rounds, count(*) filter (event_type = 'error') >= 3 closed
         from events group by 1""",
