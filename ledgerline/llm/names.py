@@ -114,9 +114,9 @@ def same_word(a: str, b: str, slips: int = 1) -> bool:
 
 
 @lru_cache(maxsize=200_000)
-def _nearest(word: str, known: frozenset[str]) -> str | None:
-    """The one known word that `word` is a slip of."""
-    if len(word) < 4:
+def _nearest(word: str, known: frozenset[str], shortest: int = 4) -> str | None:
+    """The one known word that `word` is a slip of; a word of fewer letters than `shortest` is of none."""
+    if len(word) < shortest:
         return None
     found = [w for w in known if len(w) >= 4 and same_word(word, w, 1 if len(w) < 9 else 2)]
     return max(found, key=lambda w: (lcs_ratio(word, w), w)) if found else None
@@ -219,17 +219,15 @@ def _instrument(name: str) -> tuple[str, list[str]]:
     if (m := re.search(r"[,\s]\s*([A-Za-z]{2,8})\.?\s*(?:no\.?\s*)?#?(\d{1,6}[a-z]?)\s*$", text, re.I)) and (CLASS_SHORT.get(m[1].lower()) == "series" or m[1].lower() == "series" or _nearest(m[1].lower(), _CLASS) == "series"):
         series = m[2].lower()
         text = text[: m.start()]
-    years = re.findall(r"(?<!\d)(?:19|20)\d\d(?!\d)", text)
     numbers = sorted(re.findall(r"(?<![\d.])\d+(?:\.\d+)?(?![\d.])", re.sub(r"\b1st\b", "first", text, flags=re.I)))
     text = re.sub(r"\b1st\b", "first", text, flags=re.I).lower().replace("l/c", " lc ")
     words: list[str] = []
     for word in re.findall(r"[a-z]+", re.sub(r"[.'’]", "", text.replace("-", " "))):
         whole = word if word in CLASS or len(word) == 1 else CLASS_SHORT.get(word)
         if whole is None:
-            whole = _nearest(word, _CLASS) or next((CLASS_SHORT[s] for s in CLASS_SHORT if len(s) > 3 and len(word) > 2 and same_word(word, s)), word)
+            whole = _nearest(word, _CLASS, 3) or next((CLASS_SHORT[s] for s in CLASS_SHORT if len(s) > 3 and len(word) > 2 and same_word(word, s)), word)
         words += whole.split()
     kept = sorted(w for w in words if w not in EMPTY)
-    del years
     return f"{rate}|{' '.join(numbers)}|{series}", kept
 
 
