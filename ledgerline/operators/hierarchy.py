@@ -32,6 +32,12 @@ def pointers(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
     return single.join(nodes, "parent", "left_semi").select("tree", "node", "parent")
 
 
+def all_nodes(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
+    """(tree, node): every node once for each field, pointers or none. Null nodes are left out."""
+    trees = F.explode(F.array(*(F.lit(tree) for tree in fields))).alias("tree")
+    return df.where(F.col(node).isNotNull()).select(F.col(node).alias("node")).distinct().select(trees, "node")
+
+
 def _is_splitter(column: Column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(SPLIT_ONE_IN)) == 0
 
@@ -129,10 +135,10 @@ def tops(edges: DataFrame) -> DataFrame:
     )
 
 
-def hierarchy(edges: DataFrame) -> DataFrame:
+def hierarchy(edges: DataFrame, every: DataFrame | None = None) -> DataFrame:
     """(tree, node, root, depth, path, descendants, state): every node of edges, tops included.
 
-    path runs from the root to the node. descendants counts the nodes below; for nodes on a cycle
+    Nodes of `every` (tree, node) that no edge holds are roots of depth 0 without descendants. path runs from the root to the node. descendants counts the nodes below; for nodes on a cycle
     and below one, path, depth and descendants are null and root is the smallest node on the cycle.
     """
     edges = cut(edges)
@@ -144,6 +150,12 @@ def hierarchy(edges: DataFrame) -> DataFrame:
         roots.select("tree", "node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     )
     counted = nodes.join(below, _KEY, "left").select("tree", "node", "root", "depth", "path", F.coalesce("descendants", F.lit(0)).alias("descendants"), F.lit("tree").alias("state"))
+    if every is not None:
+        linked = edges.select("tree", "node").unionByName(edges.select("tree", F.col("parent").alias("node")))
+        alone = every.join(linked, _KEY, "left_anti")
+        counted = counted.unionByName(
+            alone.select("tree", "node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"), F.lit(0).cast("long").alias("descendants"), F.lit("tree").alias("state"))
+        )
     return counted.unionByName(
         cyclic.select(
             "tree", "node", F.col("top").alias("root"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("array<string>").alias("path"), F.lit(None).cast("long").alias("descendants"),

@@ -31,9 +31,12 @@ def p2_amounts(spark: SparkSession, d: str) -> DataFrame:
 LINK_FIELDS = {"amendment_of": "amendment_of", "split_of": "split_of"}
 
 
+def _linked(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "mentions", "debt_instrument_mention_id", *LINK_FIELDS.values())
+
+
 def _pointers(spark: SparkSession, d: str) -> DataFrame:
-    mentions = table(spark, d, "mentions", "debt_instrument_mention_id", *LINK_FIELDS.values())
-    return hierarchy.pointers(mentions, "debt_instrument_mention_id", LINK_FIELDS)
+    return hierarchy.pointers(_linked(spark, d), "debt_instrument_mention_id", LINK_FIELDS)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,8 +44,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Every mention of a tree of either field: root, depth, path from the root, number of descendants, state."""
-    rows = hierarchy.hierarchy(_pointers(spark, d))
+    """Every mention for each field: root, depth, path from the root, number of descendants, state."""
+    rows = hierarchy.hierarchy(_pointers(spark, d), hierarchy.all_nodes(_linked(spark, d), "debt_instrument_mention_id", LINK_FIELDS))
     return rows.select(
         F.col("tree").alias("link_field"), F.col("node").alias("debt_instrument_mention_id"), "root", "depth", F.array_join("path", ">").alias("path"), "descendants", "state"
     )

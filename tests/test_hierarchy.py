@@ -56,6 +56,17 @@ def test_tops_and_paths(spark, name):
     assert pairs == {(a, node, len(v[3]) - 1 - i) for node, v in expected.items() if v[3] for i, a in enumerate(v[3][:-1])}
 
 
+def test_nodes_without_links_are_roots(spark):
+    rows = [("a", "gone", None), ("b", None, "c"), ("b", None, "c"), ("c", "b", None), (None, "b", "b"), ("d", "d", None)]
+    fields = {"up": "up", "split": "split"}
+    df = spark.createDataFrame(rows, "id string, up string, split string")
+    found = hierarchy.hierarchy(hierarchy.pointers(df, "id", fields), hierarchy.all_nodes(df, "id", fields)).collect()
+    assert sorted((r.tree, r.node, r.root, r.depth, r.path, r.descendants, r.state) for r in found) == [
+        ("split", "a", "a", 0, ["a"], 0, "tree"), ("split", "b", "c", 1, ["c", "b"], 0, "tree"), ("split", "c", "c", 0, ["c"], 1, "tree"), ("split", "d", "d", 0, ["d"], 0, "tree"),
+        ("up", "a", "a", 0, ["a"], 0, "tree"), ("up", "b", "b", 0, ["b"], 1, "tree"), ("up", "c", "b", 1, ["b", "c"], 0, "tree"), ("up", "d", "d", None, None, None, "cycle"),
+    ]
+
+
 def test_random_forest_with_a_hot_parent(spark):
     rng = random.Random(7)
     rows = [(f"n{i}", f"n{rng.randrange(400)}" if i % 3 else "n1") for i in range(400)]
