@@ -3,8 +3,9 @@
 Boundaries are found once per text and kept in sorted arrays of offsets, one per strength
 (section break, paragraph, line, sentence, word). For every piece the last boundary under the
 limit is found by binary search, strongest kind first; where a kind has none in the admissible
-range the next is asked, and where none has, the cut is hard. The next piece starts exactly
-`overlap` units before the cut. Sizes are prefix sums over units, so that limits in tokens work
+range the next is asked. Where none has, all kinds are asked again down to the overlap, and where
+the window holds no boundary at all the cut is hard. The next piece starts exactly `overlap` units
+before the cut. Sizes are prefix sums over units, so that limits in tokens work
 like limits in characters (code points).
 """
 
@@ -28,6 +29,7 @@ BOUNDARIES = (
     ("word", re.compile(r"\s+")),
 )
 #: A stronger kind of boundary is taken only if the piece stays this full; else a weaker, later one.
+#: Where no kind has one so late, a piece may be less full: any boundary goes before a hard cut.
 LEAST_FILL = 0.5
 
 PIECE = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("boundary", StringType())])
@@ -64,12 +66,11 @@ def cut_points(
         last = start + limit
         end, kind = last, "hard"
         # a piece must end beyond the overlap, or the next would not advance
-        lowest = start + max(overlap + 1, int(limit * least_fill))
-        for name, array in arrays:
-            at = bisect_right(array, last) - 1
-            if at >= 0 and array[at] >= lowest:
-                end, kind = array[at], name
-                break
+        advance = start + overlap + 1
+        found = [(array[at], name) for name, array in arrays if (at := bisect_right(array, last) - 1) >= 0 and array[at] >= advance]
+        full = [f for f in found if f[0] >= start + int(limit * least_fill)]
+        if found:
+            end, kind = (full or found)[0]
         pieces.append((offset(start), offset(end), kind))
         start = end - overlap
     pieces.append((offset(start), len(text), "end"))

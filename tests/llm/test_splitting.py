@@ -24,6 +24,24 @@ def test_boundaries_are_natural():
     assert [k for _, _, k in splitting.cut_points("x" * 500, 200, 20)] == ["hard", "hard", "end"]
 
 
+def test_a_hard_cut_only_where_no_boundary_is():
+    text = "A short paragraph.\n\nSome prose before " + "x" * 500
+    pieces = splitting.cut_points(text, 200, 10)
+    assert [(b, k) for _, b, k in pieces[:2]] == [(20, "paragraph"), (38, "word")]
+    assert [k for _, _, k in pieces[2:]] == ["hard", "hard", "end"]
+    # a boundary within the overlap doesn't let the next piece advance
+    assert [k for _, _, k in splitting.cut_points("word " + "x" * 300, 200, 10)] == ["hard", "end"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abcdefg .\n", max_size=400), st.integers(1, 60), st.integers(0, 59))
+def test_hard_cuts_have_no_boundary_in_their_window(text, limit, overlap):
+    overlap = min(overlap, limit - 1)
+    ends = {at for _, array in splitting.boundary_arrays(text) for at in array}
+    for start, end, kind in splitting.cut_points(text, limit, overlap):
+        assert kind != "hard" or not ends & set(range(start + overlap + 1, end + 1))
+
+
 def test_limits_in_tokens():
     text = "Some words of a filing, é 😀 and more. " * 40
     ends = tokens.token_ends(text)
