@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled rows used for fitting, at most; the sample is deterministic in the key's hash.
+#: Labelled rows the linear model is fitted on, at most; the sample is deterministic in the key's hash.
 FIT_ROWS = 20_000
 FEATURES = 1 << 16
 
@@ -37,7 +37,8 @@ def logistic(margin):
 
 def threshold_for_recall(scores: DataFrame, score: str, label: str, recall: float) -> float:
     """The highest threshold at which at least `recall` of the positive rows are kept; 0 without positives."""
-    counts = scores.groupBy(F.round(score, 6).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"))
+    # scores are rounded down, since a threshold rounded up would lose the rows it stands for
+    counts = scores.groupBy((F.floor(F.col(score) * 1_000_000) / 1_000_000).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"))
     down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
     curve = counts.select("s", (F.sum("p").over(down) / F.sum("p").over(Window.partitionBy())).alias("r"))
     best = curve.where(F.col("r") >= recall).agg(F.max("s")).first()[0]
@@ -45,23 +46,26 @@ def threshold_for_recall(scores: DataFrame, score: str, label: str, recall: floa
 
 
 def fit(labelled: DataFrame, key: str, text: str, label: str, recall: float = 0.99, fit_rows: int = FIT_ROWS) -> Classifier:
-    """Fit on at most fit_rows rows (two thirds), set the threshold on the rest of them.
+    """Fit on at most fit_rows rows (two thirds), set the threshold on all labelled rows not fitted on.
 
-    label is boolean. Classes are weighted by their inverse frequency. Rows of null label are left out.
+    Document frequencies are those of all texts, unlabelled ones included. label is boolean.
+    Classes are weighted by their inverse frequency. Rows of null label have no part in model and
+    threshold.
     """
-    rows = labelled.where(F.col(label).isNotNull()).select(F.col(key).cast("string").alias("_key"), F.coalesce(F.lower(text), F.lit("")).alias("_text"), F.col(label).cast("double").alias("_label")).dropDuplicates(["_key"])
+    every = labelled.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.lower(text), F.lit("")).alias("_text"), F.col(label).cast("double").alias("_label"))
+    rows = every.where("_label is not null").dropDuplicates(["_key"])
     total = rows.count()
     part = F.pmod(F.xxhash64("_key"), F.lit(1_000_000))
-    rows = rows.where(part < int(1_000_000 * min(1.0, fit_rows / max(1, total)))).withColumn("_part", part)
+    fitted = (part < int(1_000_000 * min(1.0, fit_rows / max(1, total)))) & (part % 3 != 0)
     share = rows.agg(F.avg("_label")).first()[0] or 0.5
-    weighted = rows.withColumn("_weight", F.when(F.col("_label") == 1, 0.5 / max(share, 1e-6)).otherwise(0.5 / max(1 - share, 1e-6)))
+    weighted = rows.where(fitted).withColumn("_weight", F.when(F.col("_label") == 1, 0.5 / max(share, 1e-6)).otherwise(0.5 / max(1 - share, 1e-6)))
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"), NGram(n=2, inputCol="_words", outputCol="_pairs"),
         HashingTF(inputCol="_words", outputCol="_tf1", numFeatures=FEATURES), HashingTF(inputCol="_pairs", outputCol="_tf2", numFeatures=FEATURES),
         VectorAssembler(inputCols=["_tf1", "_tf2"], outputCol="_tf"), IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
-        LinearSVC(featuresCol="_features", labelCol="_label", weightCol="_weight", rawPredictionCol="_raw", predictionCol="_prediction", maxIter=20, regParam=0.01),
     ]
-    held = F.col("_part") % 3 == 0
-    model = Pipeline(stages=stages).fit(weighted.where(~held))
-    scored = model.transform(weighted.where(held)).withColumn("s", logistic(vector_to_array("_raw")[1]))
+    linear = LinearSVC(featuresCol="_features", labelCol="_label", weightCol="_weight", rawPredictionCol="_raw", predictionCol="_prediction", maxIter=20, regParam=0.01)
+    features = Pipeline(stages=stages).fit(every.dropDuplicates(["_key"]))
+    model = PipelineModel([*features.stages, linear.fit(features.transform(weighted))])
+    scored = model.transform(rows.where(~fitted)).withColumn("s", logistic(vector_to_array("_raw")[1]))
     return Classifier(model, threshold_for_recall(scored, "s", "_label", recall))

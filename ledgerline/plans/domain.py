@@ -101,7 +101,7 @@ def text_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def item_relevance(spark: SparkSession, d: str) -> DataFrame:
-    """Every item's relevance as scored by a classifier fitted on a bounded sample of the labelled ones."""
+    """Every item's relevance as scored by a linear model fitted on a bounded sample; document frequencies and threshold cover all items."""
     items = table(spark, d, "classifications", "item_id", "text", "relevance").dropDuplicates(["item_id"])
     return classify.fit(items, "item_id", "text", "relevance").score(items, "text").select("item_id", "classification_score", "verdict")
 

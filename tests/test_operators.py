@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.ml.feature import IDFModel
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, text
@@ -155,3 +158,22 @@ def test_classifier(spark):
     scored = classify.fit(df, "id", "body", "good", recall=0.95).score(df, "body").collect()
     right = sum((r.verdict == "relevant") == r.good for r in scored if r.good is not None)
     assert len(scored) == 301 and right / 300 > 0.95
+
+
+def test_classifier_statistics_cover_all_rows(spark):
+    """A bounded sample fits the linear model only: document counts and the threshold come from every row."""
+    rng = random.Random(3)
+    body = lambda good: " ".join(rng.choice(("loan", "notes") if rng.random() < (0.6 if good else 0.4) else ("vote", "meeting")) for _ in range(12))
+    rows = [(str(i), body(i % 2), bool(i % 2)) for i in range(3000)] + [("n", "loan", None), ("n2", None, None)]
+    df = spark.createDataFrame(rows, "id string, body string, good boolean")
+    found = classify.fit(df, "id", "body", "good", recall=0.95, fit_rows=90)
+    assert [s.numDocs for s in found.model.stages if isinstance(s, IDFModel)] == [3002]
+    part = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    outside = found.score(df, "body").where("good is not null").where(~((part < 30_000) & (part % 3 != 0)))
+    assert found.threshold == classify.threshold_for_recall(outside, "classification_score", "good", 0.95)
+    assert outside.where("good").agg(F.avg((F.col("verdict") == "relevant").cast("int"))).first()[0] >= 0.95
+
+
+def test_threshold_keeps_the_recall(spark):
+    scores = spark.createDataFrame([(0.1234566, True), (0.5, True), (0.05, False)], "s double, y boolean")
+    assert scores.where(F.col("s") >= classify.threshold_for_recall(scores, "s", "y", 1.0)).count() == 2
