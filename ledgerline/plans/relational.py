@@ -311,7 +311,7 @@ def shrink_guard(spark: SparkSession, d: str) -> DataFrame:
 select case when amounts_json is null then 'missing' when not json_valid(amounts_json) then 'not json' when json_type(amounts_json) <> 'ARRAY' then 'not a list' when json_array_length(amounts_json) = 0 then 'empty'
 when json_extract_string(amounts_json, '$[0].kind') is null then 'no kind' when json_extract_string(amounts_json, '$[0].currency') is null then 'no currency' else 'ok' end problem, count(*) as n from mentions group by 1""")
 def payload_check(spark: SparkSession, d: str) -> DataFrame:
-    """How many payloads break which rule of their contract."""
+    """How many payloads break which rule of their contract, by their first fact; payload_facts_check reads all facts."""
     payload = table(spark, d, "mentions", "amounts_json").withColumn("v", F.try_parse_json("amounts_json"))
     kind = F.schema_of_variant("v")
     first = lambda key: F.get_json_object("amounts_json", f"$[0].{key}")
@@ -322,6 +322,22 @@ def payload_check(spark: SparkSession, d: str) -> DataFrame:
     return payload.groupBy(problem.alias("problem")).agg(F.count("*").alias("n"))
 
 
+@query("""
+select case when amounts_json is null then 'missing' when not json_valid(amounts_json) then 'not json' when json_type(amounts_json) <> 'ARRAY' then 'not a list' when json_array_length(amounts_json) = 0 then 'empty'
+when list_count(json_extract_string(amounts_json, '$[*].kind')) < json_array_length(amounts_json) then 'no kind' when list_count(json_extract_string(amounts_json, '$[*].currency')) < json_array_length(amounts_json) then 'no currency' else 'ok' end problem, count(*) as n from mentions group by 1""")
+def payload_facts_check(spark: SparkSession, d: str) -> DataFrame:
+    """How many payloads break which rule of their contract in any of their facts."""
+    payload = table(spark, d, "mentions", "amounts_json").withColumn("v", F.try_parse_json("amounts_json"))
+    kind = F.schema_of_variant("v")
+    facts = F.from_json("amounts_json", "array<string>")
+    lacks = lambda key: F.exists(facts, lambda x: F.get_json_object(x, f"$.{key}").isNull())
+    problem = (
+        F.when(F.col("amounts_json").isNull(), "missing").when(F.col("v").isNull(), "not json").when(~kind.startswith("ARRAY"), "not a list").when(F.size(facts) == 0, "empty")
+        .when(lacks("kind"), "no kind").when(lacks("currency"), "no currency").otherwise("ok")
+    )
+    return payload.groupBy(problem.alias("problem")).agg(F.count("*").alias("n"))
+
+
 @query("""
 with f as (select distinct debt_instrument_mention_id id, unnest(from_json(dates_json, '[{"kind":"VARCHAR","normalized_date":"VARCHAR","prior":"BOOLEAN","expected":"BOOLEAN"}]')) x, generate_subscripts(from_json(dates_json, '["JSON"]'), 1) pos from mentions)
 select id as debt_instrument_mention_id, arg_min(x.kind, pos) kind, arg_min(x.normalized_date, pos) as day from f where x.kind in ('closing', 'amendment', 'announcement') and not coalesce(x.prior, false) and not coalesce(x.expected, false) group by 1""")

@@ -40,3 +40,14 @@ def test_same_rows(spark, duck, name):
 
 def test_flagship_is_registered():
     assert catalog.FLAGSHIP in catalog.QUERIES and catalog.FLAGSHIP in catalog.SQL
+
+
+def test_payload_facts_are_all_read(spark, tmp_path):
+    good, bare = '{"kind": "principal", "currency": "USD"}', '{"kind": "fee", "currency": null}'
+    rows = [(f"[{good}]",), (f"[{good}, {bare}]",), (f'[{good}, {{"currency": "USD"}}]',), (f"[{good}, 1]",), ("[]",), ("{}",), ("[",), (None,)]
+    spark.createDataFrame(rows, "amounts_json string").write.parquet(f"{tmp_path}/mentions.parquet")
+    found = {r.problem: r.n for r in catalog.QUERIES["payload_facts_check"](spark, str(tmp_path)).collect()}
+    assert found == {"ok": 1, "no currency": 1, "no kind": 2, "empty": 1, "not a list": 1, "not json": 1, "missing": 1}
+    c = duckdb.connect()
+    c.execute(f"create view mentions as select * from '{tmp_path}/mentions.parquet/*.parquet'")
+    assert dict(c.sql(catalog.SQL["payload_facts_check"]).fetchall()) == found
