@@ -77,11 +77,13 @@ def instrument_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def instrument_lineage(spark: SparkSession, d: str) -> DataFrame:
-    """Families of instruments along amendment pointers, what supersedes each, and the heads."""
+    """Families of instruments along amendment, split and retirement pointers, what supersedes each, the heads and the pointers."""
     mentions = table(spark, d, "mentions")
     edges = cut(matching.cluster(mentions))
-    links = cut(matching.parent_links(mentions, edges, "amendment_of"))
-    return matching.lifecycle(links, edges.where("edge_type = 'member'").select("instrument_id").distinct())
+    amended = cut(matching.parent_links(mentions, edges, "amendment_of"))
+    links = cut(matching.break_cycles(amended, matching.first_seen(mentions, edges)))
+    split, retired = cut(matching.parent_links(mentions, edges, "split_of")), cut(matching.retirer_links(mentions, edges))
+    return matching.lifecycle(links, edges.where("edge_type = 'member'").select("instrument_id").distinct(), split, retired)
 
 
 def inferred_lineage(spark: SparkSession, d: str) -> DataFrame:

@@ -120,6 +120,25 @@ def test_blocks_do_not_change_the_result(spark):
     assert {frozenset(v) for v in whole.values()} == found
 
 
+def test_lineage_follows_all_pointers_and_breaks_cycles(spark):
+    # a, b and c amend one another in a ring, d amends c from below it; e is split of a, f retired by e and g
+    ups = {"a": "b", "b": "c", "c": "a", "d": "c", "e": None, "f": None, "g": None, "h": None}
+    days = {"a": "2024-01-01", "b": "2024-03-01", "c": "2024-02-01"}
+    retired = {"f": '["mg", "me", "gone", null]'}
+    rows = [(f"m{i}", "i", "acc", days.get(i, "2024-01-05"), up and f"m{up}", "ma" if i == "e" else None, retired.get(i, "[]"), None) for i, up in ups.items()]
+    names = "debt_instrument_mention_id string, item_id string, accession_number string, date string, amendment_of string, split_of string, retired_by_json string, synthesized_by string"
+    mentions = spark.createDataFrame([*rows, rows[0]], names)
+    edges = spark.createDataFrame([(f"m{i}", i, "member") for i in ups], "mention_id string, instrument_id string, edge_type string")
+    links = matching.break_cycles(matching.parent_links(mentions, edges, "amendment_of"), matching.first_seen(mentions, edges))
+    assert {tuple(r) for r in links.collect()} == {("b", "c"), ("c", "a"), ("d", "c")}
+    found = matching.lifecycle(links, edges.select("instrument_id"), matching.parent_links(mentions, edges, "split_of"), matching.retirer_links(mentions, edges)).collect()
+    assert {r.instrument_id: (r.family_id, r.superseded_by, r.is_head, r.amendment_of, r.split_of, r.retired_by) for r in found} == {
+        "a": ("a", "c", False, None, None, None), "b": ("a", None, True, "c", None, None), "c": ("a", None, False, "a", None, None), "d": ("a", None, True, "c", None, None),
+        "e": ("a", None, True, None, "a", None), "f": ("a", None, True, None, None, '["e","g"]'), "g": ("a", None, True, None, None, None), "h": ("h", None, True, None, None, None),
+    }
+    assert len(found) == 8
+
+
 def test_sections():
     body = "<DOCUMENT><TYPE>8-K\n<TEXT>Table of Contents\nItem 8.01 Other Events\nItem 8.01 Other Events\nFirst line.\nItem 9 . 01 Exhibits\nlist\nSIGNATURES\nend</TEXT></DOCUMENT>"
     found = {s[0]: s for s in segmenting.sections(body)}
