@@ -22,14 +22,27 @@ _KEY = ["tree", "node"]
 def pointers(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
     """(tree, node, parent): the pointers of each field (tree -> column) whose parent exists as a node.
 
-    Repeated rows count once; a node with several different parents keeps the smallest, so that
-    every tree stays one. Null nodes and null parents give no pointer.
+    Repeated rows count once; of several different parents that exist a node keeps the smallest, so
+    that every tree stays one, and further_parents() reports the others. Null nodes and null parents
+    give no pointer.
     """
-    nodes = df.where(F.col(node).isNotNull()).select(F.col(node).alias("parent")).distinct()
+    return _given(df, node, fields).groupBy("tree", "node").agg(F.min("parent").alias("parent"))
+
+
+def _given(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
+    """(tree, node, parent): every pointer to a parent that exists; repeats are left in."""
+    rows = df.where(F.col(node).isNotNull())
+    nodes = rows.select(F.col(node).alias("parent")).distinct()
     all_fields = F.explode(F.array(*(F.struct(F.lit(tree).alias("tree"), F.col(column).alias("parent")) for tree, column in fields.items())))
-    given = df.where(F.col(node).isNotNull()).select(F.col(node).alias("node"), all_fields.alias("p")).where("p.parent is not null")
-    single = given.groupBy(F.col("p.tree").alias("tree"), "node").agg(F.min("p.parent").alias("parent"))
-    return single.join(nodes, "parent", "left_semi").select("tree", "node", "parent")
+    given = rows.select(F.col(node).alias("node"), all_fields.alias("p")).where("p.parent is not null").select("p.tree", "node", "p.parent")
+    return given.join(nodes, "parent", "left_semi").select("tree", "node", "parent")
+
+
+def further_parents(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
+    """(tree, node, parent): the existing parents that pointers() leaves out because the node has a smaller one."""
+    given = _given(df, node, fields).distinct()
+    several = given.groupBy("tree", "node").agg(F.min("parent").alias("_kept"), F.count("*").alias("_n")).where("_n > 1")
+    return given.join(several, _KEY).where("parent <> _kept").select("tree", "node", "parent")
 
 
 def all_nodes(df: DataFrame, node: str, fields: dict[str, str]) -> DataFrame:
@@ -47,8 +60,9 @@ def _walk(state: DataFrame, max_rounds: int = 40) -> tuple[DataFrame, DataFrame]
 
     Each round a row that isn't done takes over its `at`'s own stride, and is done if that one was.
     The last open row before a stop is done next, so a round in which no row gets done leaves only
-    rows that go round in cycles.
+    rows that go round in cycles. Both results are reads of tables written on the way.
     """
+    stride = lambda rows: rows.select("tree", F.col("node").alias("at"), F.col("at").alias("at2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"), F.col("path").alias("path2"))
     finished, open_rows, before = [], cut(state), -1
     for _ in range(max_rounds):
         finished.append(open_rows.where("done"))
@@ -57,9 +71,9 @@ def _walk(state: DataFrame, max_rounds: int = 40) -> tuple[DataFrame, DataFrame]
         if left in (0, before):
             break
         before = left
-        ahead = open_rows.select("tree", F.col("node").alias("at"), F.col("at").alias("at2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"), F.col("path").alias("path2"))
+        ahead = stride(open_rows)
         for earlier in finished[:-1]:
-            ahead = ahead.unionByName(earlier.select("tree", F.col("node").alias("at"), F.col("at").alias("at2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"), F.col("path").alias("path2")))
+            ahead = ahead.unionByName(stride(earlier))
         open_rows = cut(
             walking.join(ahead, ["tree", "at"]).select(
                 "tree", "node", F.col("at2").alias("at"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("done2").alias("done"), F.concat("path", "path2").alias("path")
@@ -79,14 +93,11 @@ def _split_walk(edges: DataFrame, with_paths: bool) -> tuple[DataFrame, DataFram
     marked = edges.join(tops, ["tree", "parent"], "left").withColumn("is_top", F.coalesce("is_top", F.lit(False)))
     path = F.array("node") if with_paths else F.array().cast("array<string>")
     start = marked.select("tree", "node", F.col("parent").alias("at"), F.lit(1).alias("steps"), (F.col("is_top") | _is_splitter(F.col("parent"))).alias("done"), path.alias("path"), "is_top")
-    flags = cut(start)
-    to_splitter, lost = _walk(flags.drop("is_top"))
-    to_splitter = cut(to_splitter)
+    to_splitter, _ = _walk(start.drop("is_top"))
     # the reduced graph: splitters that have a parent, each with its next splitter
     top_keys = tops.select("tree", F.col("parent").alias("at"), "is_top")
     reduced = to_splitter.where(_is_splitter(F.col("node"))).join(top_keys, ["tree", "at"], "left").select("tree", "node", "at", "steps", F.coalesce("is_top", F.lit(False)).alias("done"), "path")
-    solved, circling = _walk(reduced)
-    solved = cut(solved)
+    solved, _ = _walk(reduced)
     onward = solved.select("tree", F.col("node").alias("at"), F.col("at").alias("top"), F.col("steps").alias("more"), F.col("path").alias("onward"))
     whole = (
         to_splitter.join(top_keys, ["tree", "at"], "left")
@@ -99,7 +110,6 @@ def _split_walk(edges: DataFrame, with_paths: bool) -> tuple[DataFrame, DataFram
         )
     )
     whole = cut(whole)
-    del lost, circling
     return whole.where("top is not null"), edges.join(whole.where("top is not null"), _KEY, "left_anti")
 
 
@@ -116,6 +126,8 @@ def _cycles(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         ahead = state.select("tree", F.col("node").alias("at"), F.col("at").alias("at2"), F.col("low").alias("low2"))
         last, state = state, cut(state.join(ahead, ["tree", "at"]).select("tree", "node", F.col("at2").alias("at"), F.least("low", "low2").alias("low")))
         drop_cut(last)
+    else:
+        raise RuntimeError(f"cycles are longer than 2^{max_rounds}")
     on = state.select("tree", F.col("at").alias("node")).distinct().withColumn("on_cycle", F.lit(True))
     lows = state.join(on, _KEY).select("tree", F.col("node").alias("at"), F.col("low").alias("top"))
     return state.join(lows, ["tree", "at"]).join(on, _KEY, "left").select("tree", "node", "top", F.coalesce("on_cycle", F.lit(False)).alias("on_cycle"))

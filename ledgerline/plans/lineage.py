@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -20,6 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir.own
 
 
+#: Folders written by cut() in this process and not deleted since.
+_written: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a Parquet table in the shared folder and return a scan of it.
 
@@ -27,15 +32,41 @@ def cut(df: DataFrame) -> DataFrame:
     joins exact sizes, so that broadcasts are only chosen below the session's threshold.
     """
     path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table made by cut() that no later plan reads."""
-    spark = df.sparkSession
     for name in df.inputFiles()[:1]:
         folder = name.rsplit("/", 1)[0]
         if "/cut-" in folder:
-            hpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+            _delete(df.sparkSession, folder)
+            _written[:] = [w for w in _written if not folder.endswith(w.rsplit("/", 1)[1])]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table cut() has written in this process; how many there were.
+
+    Results that haven't been read or written yet can't be read any more, so a long session calls
+    this between jobs. At the end of the process it happens by itself.
+    """
+    count = len(_written)
+    while _written:
+        _delete(spark, _written.pop())
+    return count
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    try:
+        if _written and (spark := SparkSession.getActiveSession()) is not None:
+            release(spark)
+    except Exception:  # noqa: BLE001  the session may have gone before
+        pass

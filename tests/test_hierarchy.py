@@ -76,3 +76,10 @@ def test_random_forest_with_a_hot_parent(spark):
 def test_empty(spark):
     edges = solve(spark, [("a", None)]).where("false")
     assert hierarchy.tops(edges).count() == 0 and hierarchy.hierarchy(edges).count() == 0
+
+
+def test_left_out_parents_are_reported(spark):
+    df = spark.createDataFrame([("a", None), ("b", None), ("c", "b"), ("c", "a"), ("c", "b"), ("c", "gone"), ("d", "a"), (None, "a")], "id string, up string")
+    rows = hierarchy.further_parents(df, "id", {"up": "up"}).collect()
+    assert [(r.tree, r.node, r.parent) for r in rows] == [("up", "c", "b")]
+    assert hierarchy.further_parents(df.limit(0), "id", {"up": "up"}).count() == 0
