@@ -90,8 +90,8 @@ def currency_in_words(text: str) -> str | None:
 
 
 @lru_cache(maxsize=100_000)
-def stated(text: str) -> tuple[str | None, int | None, str | None]:
-    """(figure, power of ten of the scale or None, ISO currency or None) of an amount as written.
+def written(text: str) -> tuple[str | None, str | None, str | None]:
+    """(figure, scale as written in lower case or None, ISO currency or None) of an amount as written.
 
     ("45", None, None) for a bare "45"; (None, None, None) where no number is written. Figures are
     decimal text without exponent.
@@ -105,24 +105,35 @@ def stated(text: str) -> tuple[str | None, int | None, str | None]:
         before, after, currency = "", text.strip()[end:], None
     if number is None:
         return None, None, None
-    power = None
+    scale = None
     if m := _SCALE.match(after):
-        power = SCALES[m[1].lower()]
+        scale = m[1].lower()
         after = after[m.end() :]
     if currency is None and (m := _AFTER.match(after)):
         currency = MARKS[m[1]]
     if currency is None:
         currency = currency_in_words(after)
-    return format(number.normalize(), "f"), power, currency
+    return format(number.normalize(), "f"), scale, currency
+
+
+def stated(text: str) -> tuple[str | None, int | None, str | None]:
+    """(figure, power of ten of the scale or None, ISO currency or None): written() with the scale looked up."""
+    figure_text, scale, currency = written(text)
+    return figure_text, None if scale is None else SCALES[scale], currency
 
 
 _HEADER = re.compile(r"\b(thousands|millions|billions|crores|lakhs|lacs)\b((?:\s+[^\s]+){1,5})", re.I)
 
 
-def headers(text: str | None) -> list[tuple[int, int, str | None]]:
-    """(offset, power of ten, currency) of every line that says in what an item's bare figures are stated."""
+def written_headers(text: str | None) -> list[tuple[int, str, str | None]]:
+    """(offset, scale as written in lower case, currency) of every line that says in what an item's bare figures are stated."""
     found = []
     for m in _HEADER.finditer(text or ""):
         if (currency := currency_in_words(m[2])) is not None:
-            found.append((m.start(), SCALES[m[1].lower()], currency))
+            found.append((m.start(), m[1].lower(), currency))
     return found
+
+
+def headers(text: str | None) -> list[tuple[int, int, str | None]]:
+    """written_headers() with the scales looked up: (offset, power of ten, currency)."""
+    return [(at, SCALES[scale], currency) for at, scale, currency in written_headers(text)]

@@ -11,10 +11,13 @@ from ledgerline.sources.tables import table
 from ledgerline.streaming import stages
 
 
-def _amounts(spark: SparkSession, d: str) -> DataFrame:
+def _amount_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     mentions = table(spark, d, "mentions", "debt_instrument_mention_id", "item_id", "date", "name", "principal_amount", "principal_currency", "amounts_json")
-    items = table(spark, d, "classifications", "item_id", "text").unionByName(table(spark, d, "sixk_snippets", "item_id", "text"))
-    return units.recorded_amounts(mentions, items)
+    return mentions, table(spark, d, "classifications", "item_id", "text").unionByName(table(spark, d, "sixk_snippets", "item_id", "text"))
+
+
+def _amounts(spark: SparkSession, d: str) -> DataFrame:
+    return units.recorded_amounts(*_amount_tables(spark, d))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -57,12 +60,13 @@ def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_scales(spark: SparkSession, d: str) -> DataFrame:
-    """The unit of every recording source as a power of ten of the text's, from robust pairwise factors."""
-    rows = _amounts(spark, d).withColumn("entity", F.concat_ws("|", "debt_instrument_mention_id", "slot"))
-    said = rows.select("entity", F.lit("text").alias("unit_source"), F.col("stated_amount").alias("value"))
-    recorded = rows.select("entity", F.col("source").alias("unit_source"), F.col("recorded_amount").alias("value"))
-    scales = units.pairwise_scales(cut(said.unionByName(recorded)), "entity", "unit_source", "value")
-    return units.propagate_scales(cut(scales), "text")
+    """Every pair of sources of amounts: robust factor and offset between them, and the known conversion they snap to."""
+    return units.source_units(cut(units.recorded_figures(*_amount_tables(spark, d))))[0]
+
+
+def p2_units(spark: SparkSession, d: str) -> DataFrame:
+    """The unit of every source of amounts (records, and each notation of the text) as a power of ten of the whole unit's."""
+    return units.source_units(cut(units.recorded_figures(*_amount_tables(spark, d))))[1]
 
 
 def instrument_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +143,7 @@ def stream_poll_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants,
+    "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p2_units": p2_units, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants,
     "resolved_redirects": resolved_redirects, "carried_ids": carried_ids, "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
     "item_sections": item_sections, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
 }

@@ -82,3 +82,33 @@ def test_scales_propagate_through_the_graph(spark):
     observed = spark.createDataFrame(rows, "entity string, source string, value double")
     scales = units.pairwise_scales(observed, "entity", "source", "value")
     assert {(r.source, r.power) for r in units.propagate_scales(scales, "text").collect()} == {("text", 0), ("fact", -3), ("flat", -6)}
+
+
+def test_offsets_are_found_beside_scales(spark):
+    """A source that records value / 1000 + 32: the ratio is no conversion, the slope is."""
+    rows = [(f"e{i}", s, v) for i in range(200) for s, v in (("a", float(i + 1) ** 2), ("b", float(i + 1) ** 2 / 1000 + 32))]
+    (pair,) = units.pairwise_scales(spark.createDataFrame(rows, "entity string, source string, value double"), "entity", "source", "value").collect()
+    assert pair.power == -3 and abs(pair.offset - 32) < 1e-6 and pair.entities == 200
+
+
+def test_long_chains_of_sources_are_followed_to_the_end(spark):
+    links = spark.createDataFrame([(f"s{i:02}", f"s{i + 1:02}", 3 if i % 2 else -3, 5) for i in range(20)], "source_a string, source_b string, power int, entities long")
+    found = {r.source: r.power for r in units.propagate_scales(links, "s00").collect()}
+    assert len(found) == 21 and found["s20"] == 0 and found["s19"] == -3
+
+
+def test_many_records_teach_the_unit_of_a_notation(spark):
+    """A notation whose records all say otherwise than is customary is read as the records say."""
+    rows = [(f"m{i}", "i", "2024-01-02", None, None, None, json.dumps([fact("t", f"${i + 2} mm", f"{(i + 2) * 1000}", "USD")]), "c") for i in range(60)]
+    none = spark.createDataFrame([], "item_id string, text string")
+    read = units.recorded_amounts(spark.createDataFrame(rows, SCHEMA), none)
+    assert {r.stated_amount for r in read.collect()} == {Decimal(f"{(i + 2) * 1000}.00") for i in range(60)}
+    assert units.misrecorded(read).count() == 0
+
+
+def test_facts_of_several_spans_are_sums(spark):
+    two = {"kind": "principal", "normalized_amount": "7000000", "currency": "USD", "prior": False, "spans": [{"tag_id": "a", "char_start": 1, "text": "$3 million"}, {"tag_id": "b", "char_start": 9, "text": "$4 million"}]}
+    mixed = {**two, "spans": [two["spans"][0], {"tag_id": "b", "char_start": 9, "text": "four"}], "kind": "draw"}
+    df = spark.createDataFrame([("m", "i", "2024-01-02", None, None, None, json.dumps([two, mixed]), "c")], SCHEMA)
+    rows = units.recorded_amounts(df, spark.createDataFrame([], "item_id string, text string")).collect()
+    assert {(r.slot, r.stated_amount, r.stated_currency) for r in rows} == {(None, Decimal("7000000.00"), "USD"), (None, None, None)}
