@@ -3,7 +3,8 @@
 Three layers, all in Catalyst except where a Python function is asked for:
 
 * ``mapped``: look-alike letters, full-width forms, ligatures, odd spaces and hyphens become
-  their plain counterparts and invisible characters vanish;
+  their plain counterparts, invisible characters vanish and accents are composed (NFC, in the JVM),
+  so that a text's form depends on the text alone, not on which others are there;
 * ``skeleton_key``: a 64-bit hash of the mapped text without accents, used only to find which
   texts can be equal at all, so that whole texts are shuffled for those alone;
 * ``canonical_members``: values are grouped by their mapped form under the accent-sensitive
@@ -18,9 +19,13 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.pairing import pairs_within
+from ledgerline.plans.lineage import cut
+
 # Letters of other scripts whose shape is that of a Latin letter.
-CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTYXaesijopcyxdhqw", strict=True))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEZHIKMNOPTYXo", strict=True))
+CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝӀӏԌѴѵҮ", "ABESIJKMHOPCTYXaesijopcyxdhqwIlGVvY", strict=True))
+GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϹϳͿ", "ABEZHIKMNOPTYXovcCjJ", strict=True))
+ARMENIAN = dict(zip("օսհոցՍՏՕ", "ouhngUSO", strict=True))
 # Presentation ligatures.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 # Characters without width, and spaces and hyphens drawn like the plain ones.
@@ -28,8 +33,16 @@ INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b\u200c\u200d\
 SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 HYPHENS = "\u2010\u2011\ufe63"
 
+# Letters and digits of the mathematical alphabets and of the letterlike block: one plain character under compatibility.
+STYLED = {
+    chr(c): plain
+    for c in (*range(0x1D400, 0x1D6A4), *range(0x1D7CE, 0x1D800), *range(0x2100, 0x2140))
+    if len(plain := unicodedata.normalize("NFKC", chr(c))) == 1 and plain.isascii() and plain.isalnum()
+}
+# Roman numerals drawn as letters: some become several.
+ROMAN = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x2160, 0x2180)}
 FULL_WIDTH = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
-SINGLE = {**CYRILLIC, **GREEK, **FULL_WIDTH, **dict.fromkeys(SPACES, " "), **dict.fromkeys(HYPHENS, "-")}
+SINGLE = {**CYRILLIC, **GREEK, **ARMENIAN, **STYLED, **{c: p for c, p in ROMAN.items() if len(p) == 1}, **FULL_WIDTH, **dict.fromkeys(SPACES, " "), **dict.fromkeys(HYPHENS, "-")}
 _BASE = str.maketrans(SINGLE)
 # The same letters with accents: a Cyrillic letter with diaeresis looks like the Latin one with it.
 SINGLE.update(
@@ -46,11 +59,15 @@ ACCENTED = {
 SKELETON = {c: SINGLE.get(b, b) for c, b in ACCENTED.items()}
 SKELETON.update({c: ACCENTED.get(b, b) for c, b in SINGLE.items()})
 
-_TABLE = str.maketrans({**SINGLE, **LIGATURES, **dict.fromkeys(INVISIBLE, "")})
+#: Characters that stand for several.
+SEVERAL = {**LIGATURES, **{c: p for c, p in ROMAN.items() if len(p) > 1 and p.isascii()}}
+_SEVERAL = "[" + "".join(SEVERAL) + "]"
+
+_TABLE = str.maketrans({**SINGLE, **SEVERAL, **dict.fromkeys(INVISIBLE, "")})
 
 
 def mapped_text(text: str | None) -> str | None:
-    """The mapped form in Python, composed (NFC): what ``mapped`` gives, for use inside other Python stages."""
+    """The mapped form in Python: what ``mapped`` gives, for use inside other Python stages."""
     if text is None or text.isascii():
         return text
     return unicodedata.normalize("NFC", text.translate(_TABLE))
@@ -65,20 +82,27 @@ def _is_plain(column: Column) -> Column:
     return F.octet_length(column) == F.char_length(column)
 
 
+def _replaced(column: Column, table: dict[str, str]) -> Column:
+    done = _translate(column, table, INVISIBLE)
+    several = done
+    for one, letters in SEVERAL.items():
+        several = F.replace(several, F.lit(one), F.lit(letters))
+    return F.when(done.rlike(_SEVERAL), several).otherwise(done)
+
+
+def _composed(column: Column) -> Column:
+    """Unicode's composed form (NFC) by the ICU library that Spark's collations stand on; column mustn't be null."""
+    return F.call_function("java_method", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), column, F.lit(False))
+
+
 def mapped(column: Column) -> Column:
-    """Look-alikes, widths, ligatures, spaces and hyphens mapped; invisible characters dropped. Null stays null."""
-    done = _translate(column, SINGLE, INVISIBLE)
-    for ligature, letters in LIGATURES.items():
-        done = F.replace(done, F.lit(ligature), F.lit(letters))
-    return F.when(_is_plain(column), column).otherwise(done)
+    """Look-alikes, widths, ligatures, spaces and hyphens mapped; invisible characters dropped; accents composed. Null stays null."""
+    return F.when(_is_plain(column), column).when(column.isNotNull(), _composed(F.coalesce(_replaced(column, SINGLE), F.lit(""))))
 
 
 def skeleton_key(column: Column) -> Column:
     """A hash on which all texts that look the same agree: mapped, and without combining marks."""
-    done = _translate(column, SKELETON, INVISIBLE)
-    for ligature, letters in LIGATURES.items():
-        done = F.replace(done, F.lit(ligature), F.lit(letters))
-    return F.xxhash64(F.when(_is_plain(column), column).otherwise(F.regexp_replace(done, r"\p{Mn}+", "")))
+    return F.xxhash64(F.when(_is_plain(column), column).otherwise(F.regexp_replace(_replaced(column, SKELETON), r"\p{Mn}+", "")))
 
 
 def looks_alike_candidates(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -134,9 +158,6 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     candidates = looks_alike_candidates(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_key", "_text")
     members = canonical_members(candidates, "_text").select("_skeleton", "_content", F.xxhash64("canonical").alias("_form"), F.xxhash64(F.reverse("canonical")).alias("_form2"))
     keyed = candidates.select("_skeleton", "_content", "_key").distinct().join(members, ["_skeleton", "_content"]).select("_form", "_form2", "_content", "_key")
-    a, b = keyed.alias("a"), keyed.alias("b")
-    return (
-        a.join(b, (F.col("a._form") == F.col("b._form")) & (F.col("a._form2") == F.col("b._form2")) & (F.col("a._key") < F.col("b._key")) & (F.col("a._content") != F.col("b._content")))
-        .select(F.col("a._key").alias("key_a"), F.col("b._key").alias("key_b"))
-        .distinct()
-    )
+    # a class of any size is paired block by block
+    pairs = pairs_within(cut(keyed), ["_form", "_form2"], "_key", ["_content"])
+    return pairs.where("a__content <> b__content").select(F.col("a__key").alias("key_a"), F.col("b__key").alias("key_b")).distinct()

@@ -34,3 +34,18 @@ def test_long_and_empty(spark):
     df = spark.createDataFrame([(1, long + "\u00e9"), (2, long + "e\u0301"), (3, long)], "key long, body string")
     assert [tuple(r) for r in lookalikes.lookalike_pairs(df, "key", "body").collect()] == [(1, 2)]
     assert lookalikes.lookalike_pairs(df.limit(0), "key", "body").count() == 0
+
+
+def test_the_form_depends_on_the_text_alone(spark, documents):
+    """A text without a twin comes out as it does among its twins, and the JVM's form is Python's."""
+    together = {r.key: r.canonical for r in lookalikes.canonical_texts(documents, "key", "body").collect()}
+    for row in documents.distinct().collect():
+        assert together[row.key] == lookalikes.mapped_text(row.body)
+    alone = spark.createDataFrame([(1, "café")], "key long, body string")
+    assert lookalikes.canonical_texts(alone, "key", "body").first().canonical == "café"
+
+
+def test_letters_of_styled_alphabets_and_numerals(spark):
+    rows = [(1, "\U0001d400ct Ⅳ Ⅿ ℌx \U0001d7d8"), (2, "Act IV M Hx 0"), (3, "x² – “q”"), (4, 'x2 - "q"')]
+    df = spark.createDataFrame(rows, "key long, body string")
+    assert [tuple(r) for r in lookalikes.lookalike_pairs(df, "key", "body").collect()] == [(1, 2)]
