@@ -7,14 +7,16 @@ number in either. The plan, for a threshold t:
    in a table of fixed size, how often each run occurs in the whole collection (by hashed bucket:
    any order is a correct one, and this one puts rare runs first).
 2. A second pass sorts each class's runs rarest first and keeps the prefix of n - ceil(t n) + 1
-   runs: two texts that reach t share a run of their prefixes. Prefix runs travel by hash range in
-   arrays (8 bytes a run), not as rows.
+   runs: two texts that reach t share a run of their prefixes. Prefix runs travel in arrays by hash
+   range; there are as many ranges as RANGE_RUNS prefix runs go into, so a task's share stays the
+   same however much data there is. A run the table of counts holds for frequent is cut into blocks
+   of classes beforehand, and every two blocks meet under a key of their own, in another range.
 3. Within a range, equal runs give pairs of classes, cut by the length filter (sizes within t). The
    matches of a pair are added up; the positional filter drops pairs with too little left from their
-   first match on, the suffix filter those whose matches plus all of the longer rest can't reach t.
-   Runs that very many classes share are cut into blocks whose pairs are spread over all tasks.
-4. The classes of the remaining pairs are read again, their full run sets joined to the pairs, and
-   each pair is verified once, exactly.
+   first match on, the count filter those whose matches plus all of the longer rest can't reach t.
+4. The classes of the remaining pairs are read again and their full run sets joined to the pairs. The
+   suffix filter parts both sets at the same runs, recursively, and drops a pair as soon as the parts'
+   sizes differ by more than t allows; what is left is verified once, exactly.
 
 Every step is lossless: what the filters drop can't reach the threshold. Copies cost one class and
 are expanded only where a caller asks for pairs of rows.
@@ -32,13 +34,18 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import lookalikes, shingles, tables
 from ledgerline.operators.graph import connected_components
+from ledgerline.operators.pairing import pairs_within
 from ledgerline.plans.lineage import cut
 
-#: Cells of the table of counts (2 bytes each) and bits of the candidates' bitmap: fixed sizes.
-COUNT_CELLS = 1 << 21
+#: Cells of the table of counts (4 bytes each) and bits of the candidates' bitmap: fixed sizes.
+COUNT_CELLS = 1 << 20
 BITMAP_BYTES = 1 << 22
-#: Classes sharing one run beyond which their pairs are spread over tasks, in blocks of half as many.
-HOT_RUN = 4096
+#: Prefix runs (about 50 bytes each while they are joined) that one range holds.
+RANGE_RUNS = 2_000_000
+#: Classes a block of a frequent run holds.
+BLOCK_CLASSES = 4096
+#: Recursions of the suffix filter.
+SUFFIX_DEPTH = 4
 WIDTH, THRESHOLD = 5, 0.8
 
 
@@ -68,15 +75,15 @@ def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (spread >> np.uint64(3)).astype(np.int64), np.left_shift(1, (spread & np.uint64(7)).astype(np.int64)).astype(np.uint8)
 
 
-_CLASSES = "kind string, key string, c1 long, c2 long, range int, cells binary"
+_CLASSES = "kind string, key string, c1 long, c2 long, n_runs int, range int, cells binary"
 
 
-def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np.ndarray]:
-    """((kind, key, c1, c2), counts): every non-null text of df (kind, key, text) with its class, and
-    how often runs fall into each cell of the table of counts. One pass over the texts gives both."""
+def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np.ndarray, int]:
+    """((kind, key, c1, c2), counts, runs): every non-null text of df (kind, key, text) with its class, how
+    often runs fall into each cell of the table of counts, and how many there are. One pass over the texts gives all."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(COUNT_CELLS, dtype=np.uint16)
+        cells = np.zeros(COUNT_CELLS, dtype=np.int64)
         for batch in batches:
             rows, ones, twos, found = [], [], [], []
             for i, words in _hashed(batch, looks):
@@ -87,36 +94,60 @@ def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np
                 found.append(_cells(shingles.runs(words, width)))
             if not rows:
                 continue
-            added = np.bincount(np.concatenate(found), minlength=COUNT_CELLS)
-            np.minimum(added + cells, 65535, out=added)
-            cells = added.astype(np.uint16)
+            cells += np.bincount(np.concatenate(found), minlength=COUNT_CELLS)
             kept = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [kept["kind"], kept["key"], pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], ["kind", "key", "c1", "c2", "range", "cells"]
+                [kept["kind"], kept["key"], pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array([f.size for f in found], pa.int32()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())],
+                ["kind", "key", "c1", "c2", "n_runs", "range", "cells"],
             )
-        at, blobs = tables.slices(cells)
-        blank = [pa.nulls(len(at), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*blank, pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "key", "c1", "c2", "range", "cells"])
+        at, blobs = tables.slices(np.minimum(cells, np.iinfo(np.uint32).max).astype(np.uint32))
+        blank = [pa.nulls(len(at), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*blank, pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "key", "c1", "c2", "n_runs", "range", "cells"])
 
     both = cut(df.select("kind", "key", "text").mapInArrow(work, _CLASSES))
-    counts = tables.combined(both.where("range is not null"), COUNT_CELLS, "uint16", "sum")
-    return both.where("range is null").select("kind", "key", "c1", "c2").distinct(), counts
+    counts = tables.combined(both.where("range is not null"), COUNT_CELLS, "uint32", "sum")
+    runs = both.agg(F.sum("n_runs")).first()[0] or 0
+    return both.where("range is null").select("kind", "key", "c1", "c2").distinct(), counts, runs
+
+
+def _met(run: np.ndarray, place: np.ndarray, blocks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, run, side): where each posting goes; rows of a run of several blocks go to all pairs of blocks with their own.
+
+    side is 0 where all of a group is paired, else 1 or 2 for the two blocks that are paired with each other.
+    """
+    own = (shingles.mix(ids[place].view(np.uint64) + np.uint64(1)) % blocks.astype(np.uint64)).astype(np.int64)
+    row = np.repeat(np.arange(run.size), blocks)
+    other = np.arange(row.size) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    own, many = own[row], blocks[row] > 1
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    met = run[row]
+    met[many] = shingles.mix(met[many] + (low[many].astype(np.uint64) << np.uint64(32)) + high[many].astype(np.uint64))
+    side = np.where(low == high, 0, np.where(own == low, 1, 2)).astype(np.int8)
+    return row, met, side
+
+
+def _blocks(counts: np.ndarray) -> np.ndarray:
+    """Into how many blocks of classes the runs of each cell go.
+
+    A cell holds many rare runs and at times a frequent one, which is what exceeds twice the mean.
+    """
+    return 1 + np.maximum(counts.astype(np.int64) - 2 * int(counts.mean()), 0) // BLOCK_CLASSES
 
 
 def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> Callable:
-    """Texts -> per batch and range: the prefix runs as arrays (32 bits of the run, place of its class, position)."""
+    """Texts -> per batch and range: the prefix runs as arrays (32 bits of the run, side, place of its class, position)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = counts.value
-        seen: set[int] = set()
+        often, into = counts.value, _blocks(counts.value)
         for batch in batches:
+            # copies within a batch come once, others are dropped where their range is joined
+            seen: set[int] = set()
             ids, sizes, firsts, places, positions = [], [], [], [], []
             for _, words in _hashed(batch, looks):
                 one, _ = shingles.content_hash(words)
                 if one in seen:
                     continue
-                if len(seen) < 1_000_000:
-                    seen.add(one)
+                seen.add(one)
                 own = shingles.shingle_set(words, width)
                 take = _prefix(own.size, t)
                 order = np.lexsort((own, often[_cells(own)]))[:take]
@@ -127,18 +158,20 @@ def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> C
                 sizes.append(own.size)
             if not ids:
                 continue
-            run = shingles.mix(np.concatenate(firsts))
+            runs, place, position = np.concatenate(firsts), np.concatenate(places), np.concatenate(positions)
+            ids, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int32)
+            row, run, side = _met(shingles.mix(runs), place, into[_cells(runs)], ids)
             part = (run % np.uint64(ranges)).astype(np.int32)
             order = np.argsort(part, kind="stable")
-            part, run = part[order], (run[order] >> np.uint64(32)).astype(np.uint32)
-            place, position = np.concatenate(places)[order], np.concatenate(positions)[order]
-            ids, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int32)
+            part, run, side = part[order], (run[order] >> np.uint64(32)).astype(np.uint32), side[order]
+            place, position = place[row][order], position[row][order]
             edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-            out = {"range": [], "run": [], "place": [], "position": [], "ids": [], "sizes": []}
+            out = {"range": [], "run": [], "side": [], "place": [], "position": [], "ids": [], "sizes": []}
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 here, local = np.unique(place[a:b], return_inverse=True)
                 out["range"].append(int(part[a]))
                 out["run"].append(run[a:b].tobytes())
+                out["side"].append(side[a:b].tobytes())
                 out["place"].append(local.astype(np.int32).tobytes())
                 out["position"].append(position[a:b].tobytes())
                 out["ids"].append(ids[here].tobytes())
@@ -148,20 +181,14 @@ def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> C
     return work
 
 
-_POSTINGS = "range int, run binary, place binary, position binary, ids binary, sizes binary"
+_POSTINGS = "range int, run binary, side binary, place binary, position binary, ids binary, sizes binary"
 _NUMBERS = {"a": pa.int64(), "b": pa.int64(), "n_a": pa.int32(), "n_b": pa.int32(), "p_a": pa.int32(), "p_b": pa.int32(), "common": pa.int32()}
-_MATCHES = "a long, b long, n_a int, n_b int, p_a int, p_b int, common int, work binary"
+_MATCHES = "a long, b long, n_a int, n_b int, p_a int, p_b int, common int"
 
 
 def _match_batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     """Matches of pairs of classes: sizes, first positions and the number of common runs."""
-    arrays = [pa.array(columns[name], kind) for name, kind in _NUMBERS.items()]
-    return pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(arrays[0]), pa.binary())], [*_NUMBERS, "work"])
-
-
-def _work_batch(work: list[bytes]) -> pa.RecordBatch:
-    """Blocks of a hot run, to be paired by another task."""
-    return pa.RecordBatch.from_arrays([*(pa.nulls(len(work), kind) for kind in _NUMBERS.values()), pa.array(work, pa.binary())], [*_NUMBERS, "work"])
+    return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) for name, kind in _NUMBERS.items()], list(_NUMBERS))
 
 
 class _Pairs:
@@ -201,93 +228,57 @@ def _filtered(pairs: _Pairs, t: float, ida, na, pa_, idb, nb, pb) -> None:
 
 
 def _join(t: float) -> Callable:
-    """Postings of whole ranges -> matches; hot runs come out as work for other tasks."""
+    """Postings of a whole range (a partition) -> matches."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs()
         parts = []
         for batch in batches:
-            columns = {name: batch[name] for name in ("run", "place", "position", "ids", "sizes")}
-            for i, part in enumerate(batch["range"].to_pylist()):
+            columns = {name: batch[name] for name in ("run", "side", "place", "position", "ids", "sizes")}
+            for i in range(batch.num_rows):
                 get = lambda name, kind, i=i: np.frombuffer(columns[name][i].as_buffer(), dtype=kind)  # noqa: E731, B023
                 place = get("place", np.int32)
-                run = get("run", np.uint32).astype(np.uint64) | (np.uint64(part) << np.uint64(32))
-                parts.append((run, get("ids", np.int64)[place], get("sizes", np.int32)[place], get("position", np.int32)))
-        if not parts:
-            return
-        run, ids, n, position = (np.concatenate(x) for x in zip(*parts, strict=True))
-        parts.clear()
-        order = np.lexsort((ids, n, run))
-        run, ids, n, position = run[order], ids[order], n[order], position[order]
-        once = np.r_[True, (run[1:] != run[:-1]) | (ids[1:] != ids[:-1])]
-        start = np.r_[True, run[1:] != run[:-1]]
-        # a run of a single class can't join anything
-        several = ~(start & np.r_[start[1:], True]) & once
-        run, ids, n, position = run[several], ids[several], n[several], position[several]
-        if not run.size:
-            return
-        edges = np.flatnonzero(np.r_[True, run[1:] != run[:-1], True])
-        length = np.diff(edges)
-        for at in np.flatnonzero(length > HOT_RUN):
-            a, b = edges[at], edges[at + 1]
-            block, half = [], HOT_RUN // 2
-            for x in range(a, b, half):
-                for y in range(x, b, half):
-                    if n[x : x + half].max() < t * n[y] - 1e-6:
-                        break
-                    both = [np.int64(1 if x == y else 0)]
-                    for s in (x, y):
-                        e = min(b, s + half)
-                        both += [np.int64(e - s), ids[s:e], n[s:e].astype(np.int64), position[s:e].astype(np.int64)]
-                    block.append(b"".join(np.asarray(v).tobytes() for v in both))
-                    if len(block) == 32:
-                        yield _work_batch(block)
-                        block = []
-            if block:
-                yield _work_batch(block)
-        left = np.repeat(length, length) - (np.arange(run.size) - np.repeat(edges[:-1], length)) - 1
-        left[np.repeat(length > HOT_RUN, length)] = 0
-        active, step = np.flatnonzero(left > 0), 1
-        while active.size:
-            other = active + step
-            close = n[active] >= t * n[other] - 1e-6
-            active, other = active[close], other[close]
-            _filtered(pairs, t, ids[active], n[active], position[active], ids[other], n[other], position[other])
-            yield from pairs.flush(_Pairs.LIMIT)
-            step += 1
-            active = active[left[active] >= step]
-        yield from pairs.flush()
+                parts.append((get("run", np.uint32), get("side", np.int8), get("ids", np.int64)[place], get("sizes", np.int32)[place], get("position", np.int32)))
+        if parts:
+            yield from _range_matches(parts, t)
 
     return work
 
 
-def _hot_pairs(t: float) -> Callable:
-    """Blocks of a hot run -> matches."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs()
-        for batch in batches:
-            for blob in batch["work"]:
-                data = np.frombuffer(blob.as_buffer(), dtype=np.int64)
-                same, at, sides = data[0], 1, []
-                for _ in range(2):
-                    count = int(data[at])
-                    sides.append([data[at + 1 + k * count : at + 1 + (k + 1) * count] for k in range(3)])
-                    at += 1 + 3 * count
-                (ida, na, pa_), (idb, nb, pb) = sides
-                for i in range(ida.size):
-                    rest = slice(i + 1 if same else 0, None)
-                    one = np.ones(idb[rest].size, dtype=np.int64)
-                    _filtered(pairs, t, ida[i] * one, na[i] * one, pa_[i] * one, idb[rest], nb[rest], pb[rest])
-                    yield from pairs.flush(_Pairs.LIMIT)
-        yield from pairs.flush()
-
-    return work
+def _range_matches(parts: list[tuple], t: float) -> Iterator[pa.RecordBatch]:
+    """The matches of one range, whose postings are in arrays."""
+    run, side, ids, n, position = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    order = np.lexsort((ids, n, run))
+    run, side, ids, n, position = run[order], side[order], ids[order], n[order], position[order]
+    once = np.r_[True, (run[1:] != run[:-1]) | (ids[1:] != ids[:-1])]
+    start = np.r_[True, run[1:] != run[:-1]]
+    # a run of a single class can't join anything
+    several = ~(start & np.r_[start[1:], True]) & once
+    run, side, ids, n, position = run[several], side[several], ids[several], n[several], position[several]
+    if not run.size:
+        return
+    pairs = _Pairs()
+    edges = np.flatnonzero(np.r_[True, run[1:] != run[:-1], True])
+    length = np.diff(edges)
+    left = np.repeat(length, length) - (np.arange(run.size) - np.repeat(edges[:-1], length)) - 1
+    active, step = np.flatnonzero(left > 0), 1
+    while active.size:
+        other = active + step
+        close = n[active] >= t * n[other] - 1e-6
+        active, other = active[close], other[close]
+        # two classes of one block are paired in that block's own group
+        x, y = side[active], side[other]
+        meet = (x == 0) | (y == 0) | (x != y)
+        _filtered(pairs, t, ids[active[meet]], n[active[meet]], position[active[meet]], ids[other[meet]], n[other[meet]], position[other[meet]])
+        yield from pairs.flush(_Pairs.LIMIT)
+        step += 1
+        active = active[left[active] >= step]
+    yield from pairs.flush()
 
 
 def _candidates(matches: DataFrame, t: float) -> DataFrame:
     """(a, b): pairs that pass the positional filter (what is left from the first match on suffices)
-    and the suffix filter (the matches in the prefixes and all of the longer rest suffice)."""
+    and the count filter (the matches in the prefixes and all of the longer rest suffice)."""
     rest = lambda n: F.ceil(F.lit(t) * F.col(n) - 1e-6) - 1  # noqa: E731  runs behind the prefix
     need = F.ceil(F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - 1e-6)
     added = matches.groupBy("a", "b").agg(F.sum("common").alias("common"), *(F.min(c).alias(c) for c in ("n_a", "n_b", "p_a", "p_b")))
@@ -315,34 +306,66 @@ def _run_sets(df: DataFrame, width: int, looks: str | None, bitmap) -> DataFrame
     return rows.groupBy("c1", "c2").agg(F.first("runs").alias("runs"))
 
 
+def _least_difference(a: np.ndarray, b: np.ndarray, most: int, depth: int = SUFFIX_DEPTH) -> int:
+    """A lower bound of the number of runs in only one of two sorted sets; beyond `most` it needn't be tight.
+
+    Both sets are parted at the middle run of the larger; the parts' sizes alone give a bound, which
+    parting them further raises (Xiao et al., 2008).
+    """
+    bound = abs(a.size - b.size)
+    if depth == 0 or bound > most or not a.size or not b.size:
+        return bound
+    large, small = (a, b) if a.size >= b.size else (b, a)
+    middle = large.size // 2
+    at = int(np.searchsorted(small, large[middle]))
+    found = at < small.size and small[at] == large[middle]
+    left, right = (large[:middle], small[:at]), (large[middle + 1 :], small[at + found :])
+    apart = abs(left[0].size - left[1].size) + abs(right[0].size - right[1].size) + (not found)
+    if apart > most:
+        return apart
+    right_sizes = abs(right[0].size - right[1].size)
+    in_left = _least_difference(*left, most - right_sizes - (not found), depth - 1)
+    if in_left + right_sizes + (not found) > most:
+        return in_left + right_sizes + (not found)
+    return in_left + (not found) + _least_difference(*right, most - in_left - (not found), depth - 1)
+
+
+def _alike(a: np.ndarray, b: np.ndarray, t: float) -> float:
+    """The similarity of two sorted sets, or 0.0 where the suffix filter shows that it stays below t."""
+    # t * either <= common, and the runs in only one of the sets are either - common
+    most = a.size + b.size - 2 * math.ceil(t / (1 + t) * (a.size + b.size) - 1e-6)
+    return shingles.similarity(a, b) if _least_difference(a, b, most) <= most else 0.0
+
+
 def _verified(pairs: DataFrame, t: float) -> DataFrame:
     kept = "a1 long, a2 long, b1 long, b2 long, similarity double"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = [shingles.similarity(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch["a_runs"], batch["b_runs"], strict=True)]
+            alike = [_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), t) for x, y in zip(batch["a_runs"], batch["b_runs"], strict=True)]
             out = pa.RecordBatch.from_arrays([*(batch[c] for c in ("a1", "a2", "b1", "b2")), pa.array(alike, pa.float64())], ["a1", "a2", "b1", "b2", "similarity"])
             yield out.filter(pa.array([s >= t - 1e-12 for s in alike], pa.bool_()))
 
     return pairs.mapInArrow(work, kept)
 
 
-def class_pairs(df: DataFrame, counts: np.ndarray, width: int = WIDTH, threshold: float = THRESHOLD, looks: str | None = None, ranges: int | None = None) -> DataFrame:
+def class_pairs(
+    df: DataFrame, counts: np.ndarray, runs: int, width: int = WIDTH, threshold: float = THRESHOLD, looks: str | None = None, range_runs: int = RANGE_RUNS
+) -> DataFrame:
     """(a1, a2, b1, b2, similarity): every pair of different classes that reaches the threshold.
 
-    df has kind, key and text, counts is the table made by classes(); only rows of one kind are
+    df has kind, key and text, counts and runs are what classes() gives; only rows of one kind are
     compared with each other. Texts of kind `looks` are compared as they look (see lookalikes).
     Null texts take no part.
     """
     spark: SparkSession = df.sparkSession
     sc = spark.sparkContext
-    ranges = ranges or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # of n runs about (1 - t) n are prefix; small collections still give every task something
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(runs * (1 - threshold)) // range_runs))
     counts = sc.broadcast(counts)
     postings = df.select("kind", "text").mapInArrow(_postings(width, threshold, looks, counts, ranges), _POSTINGS)
-    matches = cut(postings.repartition(ranges, "range").mapInArrow(_join(threshold), _MATCHES))
-    hot = matches.where("work is not null").select("work").repartition(ranges)
-    added = matches.where("work is null").drop("work").unionByName(hot.mapInArrow(_hot_pairs(threshold), _MATCHES).drop("work"))
-    pairs = cut(_candidates(added, threshold))
+    matches = cut(postings.repartitionById(ranges, F.col("range")).mapInArrow(_join(threshold), _MATCHES))
+    pairs = cut(_candidates(matches, threshold))
 
     def add(batch: pa.RecordBatch, cells: np.ndarray) -> None:
         for side in ("a", "b"):
@@ -362,13 +385,11 @@ def near_duplicate_pairs(df: DataFrame, width: int, threshold: float, looks: str
     Rows repeated with one key and text count once. Null texts take no part; two empty texts are
     equal texts. Texts shorter than `width` words have one run, of all their words.
     """
-    member, counts = classes(df, width, looks)
+    member, counts, runs = classes(df, width, looks)
     member = cut(member)
-    linked = cut(class_pairs(df, counts, width, threshold, looks))
+    linked = cut(class_pairs(df, counts, runs, width, threshold, looks))
     a, b = member.alias("a"), member.alias("b")
-    several = member.groupBy("c1", "c2").agg(F.min("key").alias("_low"), F.max("key").alias("_high")).where("_low <> _high").select("c1", "c2")
-    copies = member.join(several, ["c1", "c2"], "left_semi")
-    same = copies.alias("a").join(copies.alias("b"), ["c1", "c2"]).where("a.key < b.key and a.kind = b.kind").select("a.kind", F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b"))
+    same = pairs_within(member.select("kind", "c1", "c2", "key").distinct(), ["kind", "c1", "c2"], "key").select("kind", F.col("a_key").alias("key_a"), F.col("b_key").alias("key_b"))
     across = (
         linked.join(a, (F.col("a1") == F.col("a.c1")) & (F.col("a2") == F.col("a.c2")))
         .join(b, (F.col("b1") == F.col("b.c1")) & (F.col("b2") == F.col("b.c2")))
@@ -384,10 +405,10 @@ def near_duplicate_groups(df: DataFrame, width: int = WIDTH, threshold: float =
     class_id names the class of equal texts, copies is its number of rows, links the number of other
     classes within the threshold of it, and group_id the group of classes connected by links.
     """
-    member, counts = classes(df, width, looks)
+    member, counts, runs = classes(df, width, looks)
     member = cut(member.withColumn("class_id", F.concat_ws("-", F.lower(F.hex("c1")), F.lower(F.hex("c2")))))
     name = lambda one, two: F.concat_ws("-", F.lower(F.hex(one)), F.lower(F.hex(two)))
-    linked = cut(class_pairs(df, counts, width, threshold, looks).select(name("a1", "a2").alias("a"), name("b1", "b2").alias("b")))
+    linked = cut(class_pairs(df, counts, runs, width, threshold, looks).select(name("a1", "a2").alias("a"), name("b1", "b2").alias("b")))
     links = linked.select(F.col("a").alias("class_id")).unionByName(linked.select(F.col("b").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("links"))
     groups = connected_components(linked, "a", "b").select(F.col("node").alias("class_id"), F.col("component").alias("group_id"))
     copies = member.groupBy("class_id").agg(F.count("*").alias("copies"))

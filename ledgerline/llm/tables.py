@@ -2,7 +2,8 @@
 
 Their size depends on a parameter alone, never on the data, so they can be sent to every
 executor. Each task adds up its rows in one array and hands over a compressed slice per range;
-ranges are added up in parallel, and only the finished table passes through the driver.
+ranges are added up in parallel, and only the finished table passes through the driver, as it is:
+the same number of bytes for any data.
 """
 
 from __future__ import annotations
@@ -44,13 +45,13 @@ def combined(parts: DataFrame, size: int, dtype: str, combine: str) -> np.ndarra
                     sums[i] |= own
         if sums:
             yield pa.RecordBatch.from_pydict(
-                {"range": pa.array(list(sums), pa.int32()), "cells": pa.array([zlib.compress(np.minimum(x, most).astype(dtype).tobytes(), 1) for x in sums.values()], pa.binary())}
+                {"range": pa.array(list(sums), pa.int32()), "cells": pa.array([np.minimum(x, most).astype(dtype).tobytes() for x in sums.values()], pa.binary())}
             )
 
     added = parts.select("range", "cells").repartition(F.col("range")).mapInArrow(whole, "range int, cells binary")
     table = np.zeros((RANGES, size // RANGES), dtype=dtype)
     for row in added.collect():
-        table[row["range"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype=dtype)
+        table[row["range"]] = np.frombuffer(row["cells"], dtype=dtype)
     return table.reshape(-1)
 
 

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from ledgerline.llm import neardup
@@ -40,7 +41,7 @@ def corpus(seed, vocabulary=60):
 
 @pytest.mark.parametrize(("seed", "width", "threshold", "hot"), [(1, 3, 0.7, 4096), (2, 5, 0.8, 4), (3, 1, 0.5, 6)])
 def test_pairs_against_brute_force(spark, monkeypatch, seed, width, threshold, hot):
-    monkeypatch.setattr(neardup, "HOT_RUN", hot)
+    monkeypatch.setattr(neardup, "BLOCK_CLASSES", hot)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, "clash") for r in rows], "kind string, key string, text string, c1 string")
     found = {tuple(r) for r in neardup.near_duplicate_pairs(df, width, threshold, looks="document").collect()}
@@ -59,3 +60,25 @@ def test_groups_and_copies(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "kind string, key string, text string")
     assert neardup.near_duplicate_pairs(df, 3, 0.7).count() == 0
+
+
+def test_frequent_runs_are_joined_block_by_block(spark, monkeypatch):
+    """Many different texts that share most of their runs: every pair is found, each counted once."""
+    monkeypatch.setattr(neardup, "BLOCK_CLASSES", 2)
+    base = [f"w{i}" for i in range(30)]
+    rows = [("document", f"d{i:02}", " ".join([*base, f"end{i}"])) for i in range(20)]
+    df = spark.createDataFrame(rows, "kind string, key string, text string")
+    member, counts, total = neardup.classes(df, 3, None)
+    monkeypatch.setattr(neardup, "_blocks", lambda c: 1 + c.astype("int64") // 2)
+    pairs = neardup.class_pairs(df, counts, total, 3, 0.7, range_runs=50).collect()
+    assert len(pairs) == len({tuple(sorted((p.a1, p.b1))) for p in pairs}) == 190 and member.count() == 20
+
+
+def test_suffix_filter_is_a_lower_bound():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(2))
+        true = np.setxor1d(a, b).size
+        for most in (0, 5, 1000):
+            bound = neardup._least_difference(a, b, most)
+            assert bound <= true and neardup._least_difference(a, b, 1000, depth=20) == true
