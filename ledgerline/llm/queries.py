@@ -70,6 +70,18 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.explode_pieces(rows.dropDuplicates(["record_kind", "record_key", "text"]), "text")
 
 
+#: Share of a container by which its pieces of a document overlap.
+TOKEN_OVERLAP = 0.05
+
+
+def p4_token_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every document in pieces that fit a container (the pack limit, in tokens), with overlap."""
+    limit = _pack_limit(spark, d)
+    rows = table(spark, d, "documents", "doc_id", "text").where("text is not null").dropDuplicates(["doc_id", "text"])
+    cut_up = splitting.split_pieces(rows, "text", limit, int(limit * TOKEN_OVERLAP), unit="tokens")
+    return splitting.explode_pieces(cut_up, "text")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.marked_keys(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
@@ -85,8 +97,12 @@ def sized_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return cut(rows.select("doc_id", *columns, "n_tokens"))
 
 
+def _pack_limit(spark: SparkSession, d: str) -> int:
+    return table(spark, d, "size_limits").where("purpose = 'pack' and record_kind = 'document' and size_unit = 'tokens'").first()["max_size"]
+
+
 def _filled(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
-    limit = table(spark, d, "size_limits").where("purpose = 'pack' and record_kind = 'document' and size_unit = 'tokens'").first()["max_size"]
+    limit = _pack_limit(spark, d)
     return packing.fill_containers(sized_documents(spark, d), "doc_id", "n_tokens", limit), limit
 
 
@@ -100,20 +116,37 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(*_filled(spark, d))
 
 
-def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return mixing.mix(sized_documents(spark, d, "source"), "doc_id", "source", "n_tokens", table(spark, d, "source_targets"))
+#: Size of the large mixture as a share of the tokens the sources have.
+LARGE_SHARE = 0.75
+
+
+def _mixed(spark: SparkSession, d: str, large: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The mixture and its report: of the largest size at which the targets hold, or of LARGE_SHARE of all tokens."""
+    sized, targets = sized_documents(spark, d, "source"), table(spark, d, "source_targets")
+    size = sized.join(targets, "source", "left_semi").dropDuplicates(["source", "doc_id"]).agg(F.sum("n_tokens")).first()[0] if large else None
+    return mixing.mix(sized, "doc_id", "source", "n_tokens", targets, int(size * LARGE_SHARE) if size else None)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
-    """Every record of the mixture with the number of times it appears."""
+    """Every record of the mixture with the number of times it appears; every source has its target share."""
     return _mixed(spark, d)[0]
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Target, wanted and actual share of every source."""
+    """Target, wanted and actual share of every source in p8_mixture."""
     return _mixed(spark, d)[1]
 
 
+def p8_large_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """A mixture larger than the targets allow: the exponent rises as far as the repeat caps demand."""
+    return _mixed(spark, d, large=True)[0]
+
+
+def p8_large_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target, wanted and actual share of every source in p8_large_mixture."""
+    return _mixed(spark, d, large=True)[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = lookalikes.lookalike_pairs(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
     return pairs.select(F.col("key_a").alias("doc_id_a"), F.col("key_b").alias("doc_id_b"))
@@ -131,12 +164,15 @@ QUERIES = {
     "p3_groups": p3_groups,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
+    "p4_token_pieces": p4_token_pieces,
     "p6_found": p6_found,
     "p6_clean": p6_clean,
     "p7_containers": p7_containers,
     "p7_report": p7_report,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
+    "p8_large_mixture": p8_large_mixture,
+    "p8_large_shares": p8_large_shares,
     "p9_found": p9_found,
     "p9_canonical": p9_canonical,
 }

@@ -5,15 +5,15 @@ Boundaries are found once per text and kept in sorted arrays of offsets, one per
 limit is found by binary search, strongest kind first; where a kind has none in the admissible
 range the next is asked. Where none has, all kinds are asked again down to the overlap, and where
 the window holds no boundary at all the cut is hard. The next piece starts exactly `overlap` units
-before the cut. Sizes are prefix sums over units, so that limits in tokens work
-like limits in characters (code points).
+before the cut. Sizes are prefix sums over units: the ends of a public tokenizer's tokens, or of the
+characters (code points) themselves, whose prefix sums are their offsets.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from ledgerline.llm import tokens
+
 #: Kinds of boundary, strongest first; a match's end is where a piece may end.
 BOUNDARIES = (
     ("paragraph", re.compile(r"\n[ \t]*\n\s*")),
@@ -40,7 +42,7 @@ def boundary_arrays(text: str) -> list[tuple[str, list[int]]]:
 
 
 def cut_points(
-    text: str, limit: int, overlap: int, token_ends: list[int] | None = None, least_fill: float = LEAST_FILL
+    text: str, limit: int, overlap: int, token_ends: Sequence[int] | None = None, least_fill: float = LEAST_FILL
 ) -> list[tuple[int, int, str]]:
     """(start, end, kind of boundary at end) of each piece, offsets in code points.
 
@@ -57,7 +59,7 @@ def cut_points(
         offset: Callable[[int], int] = lambda unit: unit
         arrays = boundary_arrays(text)
     else:
-        ends = [0, *token_ends]
+        ends = [0, *map(int, token_ends)]
         offset = ends.__getitem__
         # a boundary counts as the last token end at or before it
         arrays = [(name, sorted({bisect_right(ends, at) - 1 for at in array})) for name, array in boundary_arrays(text)]
@@ -77,28 +79,38 @@ def cut_points(
     return pieces
 
 
-@pandas_udf(ArrayType(PIECE))
-def _pieces_in_chars(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for texts, limits, overlaps in batches:
-        yield pd.Series(
-            [[{"start": a, "end": b, "boundary": k} for a, b, k in cut_points(t, int(m), int(o))] for t, m, o in zip(texts, limits, overlaps, strict=True)],
-            dtype=object,
-        )
+def _pieces_of(texts: Column | str, limits: Column | str, overlaps: Column | str, unit: str, vocabulary: str | None) -> Column:
+    @pandas_udf(ArrayType(PIECE))
+    def pieces(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = []
+            for text, limit, overlap in zip(*batch, strict=True):
+                ends = tokens.token_ends(text, vocabulary) if unit == "tokens" else None
+                found.append([{"start": a, "end": b, "boundary": k} for a, b, k in cut_points(text, int(limit), int(overlap), ends)])
+            yield pd.Series(found, dtype=object)
+
+    return pieces(texts, limits, overlaps)
 
 
-def split_pieces(df: DataFrame, text: str, limit: Column | int, overlap: Column | int) -> DataFrame:
+def split_pieces(df: DataFrame, text: str, limit: Column | int, overlap: Column | int, unit: str = "chars", vocabulary: str | None = None) -> DataFrame:
     """df with column `pieces`: array of (start, end, boundary) in code points.
 
-    Texts within the limit are one piece from 0 to their end and don't leave the JVM. A null text
-    has null pieces; an empty text has one empty piece. Limit and overlap may be columns.
+    Limit and overlap count code points (unit "chars") or tokens of a public tokenizer (unit
+    "tokens", vocabulary names its file), by prefix sums of the tokens' lengths. Texts that can't
+    exceed the limit (as many code points in chars, as many bytes in tokens, which have one byte at
+    least) are one piece from 0 to their end and don't leave the JVM. A null text has null pieces;
+    an empty text has one empty piece; a null limit is none. Limit and overlap may be columns.
     """
+    if unit not in ("chars", "tokens"):
+        raise ValueError("unit is chars or tokens")
     limit = F.lit(limit) if isinstance(limit, int) else limit
     overlap = F.lit(overlap) if isinstance(overlap, int) else overlap
-    sized = df.withColumn("_length", F.char_length(text)).withColumn("_limit", limit.cast("long")).withColumn("_overlap", F.coalesce(overlap, F.lit(0)).cast("long"))
+    most = F.octet_length(F.col(text).cast("binary")) if unit == "tokens" else F.char_length(text)
+    sized = df.withColumn("_most", most).withColumn("_length", F.char_length(text)).withColumn("_limit", limit.cast("long")).withColumn("_overlap", F.coalesce(overlap, F.lit(0)).cast("long"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("_length").alias("end"), F.lit("end").alias("boundary")))
-    fits = sized.where("_length is null or _limit is null or _length <= _limit").withColumn("pieces", F.when(F.col(text).isNotNull(), whole).cast(ArrayType(PIECE)))
-    over = sized.where("_length > _limit").withColumn("pieces", _pieces_in_chars(text, "_limit", "_overlap"))
-    return fits.unionByName(over).drop("_length", "_limit", "_overlap")
+    fits = sized.where("_most is null or _limit is null or _most <= _limit").withColumn("pieces", F.when(F.col(text).isNotNull(), whole).cast(ArrayType(PIECE)))
+    over = sized.where("_most > _limit").withColumn("pieces", _pieces_of(text, "_limit", "_overlap", unit, vocabulary))
+    return fits.unionByName(over).drop("_most", "_length", "_limit", "_overlap")
 
 
 def explode_pieces(df: DataFrame, text: str) -> DataFrame:

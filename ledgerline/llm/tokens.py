@@ -7,6 +7,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
@@ -46,16 +47,21 @@ def token_count(text: Column | str, path: str | None = None) -> Column:
     return count(text)
 
 
-def token_ends(text: str, path: str | None = None) -> list[int]:
-    """Offsets in code points at which the tokens of text end; a token inside a character ends with it."""
-    own = encoding(path or default_path())
-    ends, data, at = [], text.encode("utf-8"), 0
-    starts = [i for i, b in enumerate(data) if b & 0xC0 != 0x80]
-    place = {b: i for i, b in enumerate(starts)} | {len(data): len(text)}
-    for token in own.encode_ordinary(text):
-        at += len(own.decode_single_token_bytes(token))
-        inside = at
-        while inside not in place:
-            inside += 1
-        ends.append(place[inside])
-    return ends
+@lru_cache(maxsize=4)
+def _byte_lengths(path: str) -> np.ndarray:
+    """The number of bytes of every token of a vocabulary."""
+    own = encoding(path)
+    return np.array([len(own.decode_single_token_bytes(i)) for i in range(own.n_vocab)], dtype=np.int64)
+
+
+def token_ends(text: str, path: str | None = None) -> np.ndarray:
+    """Offsets in code points at which the tokens of text end, as prefix sums; a token inside a character ends with it."""
+    path = path or default_path()
+    tokens = np.array(encoding(path).encode_ordinary(text), dtype=np.int64)
+    ends = np.cumsum(_byte_lengths(path)[tokens])
+    if text.isascii():
+        return ends
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    # the characters begun before a byte: of an end inside a character, that one is among them
+    begun = np.cumsum((data & 0xC0) != 0x80)
+    return begun[ends - 1]

@@ -71,3 +71,14 @@ def test_mixture(spark):
     assert shares["gone"].actual_tokens == 0 and sum(s.actual_share for s in shares.values()) == pytest.approx(1)
     empty, blank = mixing.mix(df.limit(0), "doc", "source", "n", targets)
     assert empty.count() == 0 and blank.count() == 4
+
+
+def test_a_size_beyond_the_targets_moves_the_exponent(spark):
+    """At the size of all that is there the caps bind: shares move from the targets no further than they must."""
+    df = spark.createDataFrame([(i, "big" if i >= 300 else "small", 50) for i in range(6000)], "doc long, source string, n long")
+    targets = spark.createDataFrame([("big", 0.5, 2), ("small", 0.5, 2)], "source string, target_share double, max_repeats long")
+    mixture, report = mixing.mix(df, "doc", "source", "n", targets, size=300_000)
+    shares = {r.source: r for r in report.collect()}
+    assert 0 < shares["small"].exponent < 1 and shares["small"].actual_share == pytest.approx(0.1, abs=0.005)
+    assert shares["small"].most_times == 2 and sum(s.actual_tokens for s in shares.values()) == pytest.approx(300_000, rel=0.01)
+    assert {r.times for r in mixture.where("source = 'small'").collect()} == {2}

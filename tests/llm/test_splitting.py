@@ -63,3 +63,16 @@ def test_rows(spark):
     pieces = splitting.explode_pieces(splitting.split_pieces(df.drop("start").distinct(), "text", 50, 10), "text").where("key = 'a'").orderBy("piece_no").collect()
     assert pieces[0].piece == ("w " * 100)[pieces[0].start : pieces[0].end]
     assert splitting.split_pieces(df.limit(0), "text", 50, 10).count() == 0
+
+
+def test_rows_in_tokens(spark):
+    long = "Some words of a filing, é and more.\n\n" * 60
+    df = spark.createDataFrame([("a", long, "c"), ("b", "short", "c"), ("c", None, None), ("d", "", None)], "key string, text string, start string")
+    rows = splitting.explode_pieces(splitting.split_pieces(df.drop("start"), "text", 50, 5, unit="tokens"), "text").collect()
+    own = sorted((r for r in rows if r.key == "a"), key=lambda r: r.piece_no)
+    ends = [0, *tokens.token_ends(long).tolist()]
+    assert own[-1].end == len(long) and all(r.piece == long[r.start : r.end] for r in own)
+    assert all(ends.index(r.end) - ends.index(r.start) <= 50 for r in own) and all(ends.index(a.end) - ends.index(b.start) == 5 for a, b in zip(own, own[1:], strict=False))
+    assert {r.key: (r.start, r.end) for r in rows if r.key in "bd"} == {"b": (0, 5), "d": (0, 0)}
+    with pytest.raises(ValueError):
+        splitting.split_pieces(df, "text", 50, 5, unit="pages")
