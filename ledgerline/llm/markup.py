@@ -1,8 +1,12 @@
 """Problem 6: HTML, Markdown, wiki and LaTeX markup to clean text that keeps its structure.
 
-Finding is done in Catalyst (one regular expression per kind, each guarded by a plain search for
-a character it needs), so that unmarked texts, the bulk of a corpus, never leave the JVM.
-Conversion is a Python function over Arrow batches for marked texts alone.
+Three stages. Nearest-URL page differencing (pages.py) finds the lines a page shares with the page
+whose URL is nearest; those that hold nothing but markup are its frame and are deleted. Shared lines
+with words in them stay: filings share statements, and what is common to two filings isn't residue
+(README has the figures of deleting them all). Then Catalyst finds the kinds of markup (one regular
+expression per kind, each guarded by a plain search for a character it needs), so that unmarked
+texts, the bulk of a corpus, never leave the JVM, and a Python function over Arrow batches converts
+marked texts alone. A text counts as marked if that changed anything besides the filing's envelope.
 
 Clean text keeps headings as ``# ...`` lines, list items as ``- ...`` lines, table rows with
 `` | `` between cells, code between lines of three back quotes, formulas between ``$`` signs as
@@ -20,7 +24,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+from ledgerline.llm.pages import lines, page_differences
 
 # Element names of HTML, and the extension elements wikis allow.
 ELEMENTS = (
@@ -37,16 +43,20 @@ MARKDOWN = (
     r"(?m)^\#{1,6}[ \t]+\S|\*\*[^\s*]|!?\[[^\]\n]+\]\((?:https?:|mailto:|/|\#|\.)[^)\s]*\)|```|`[^`\n]+`|^>[ \t]+\S|^\|[^\n]*\|[ \t]*$"
     r"|(?:(?<=\s)|^)\*[A-Za-z][^*\n]*[A-Za-z.]\*(?=\W|$)|~~[^~\n]+~~"
 )
+# bold by underscores, of more than a letter: a ticked box (__X__) is an ordinary sign
+MARKDOWN += r"|(?<![\w_])__[A-Za-z][^_\n]+[^_\s]__(?![\w_])"
 WIKI = r"(?m)\[\[[^\]\n]+\]\]|'''?[^'\n]+'''?|\{\{[^}\n]+\}\}|^={2,6}[^=\n]+={2,6}[ \t]*$|^\{\||^\|\}|^\|-(?!-)"
 LATEX = r"\\(?:[A-Za-z]+|[\[\]()$%&_#{}\\])|\$\$[^$]+\$\$"
 
 KINDS = {
     "html": (HTML, ("<",)),
     "entity": (ENTITY, ("&",)),
-    "markdown": (MARKDOWN, ("#", "*", "](", "`", "> ", "|", "~~")),
+    "markdown": (MARKDOWN, ("#", "*", "](", "`", "> ", "|", "~~", "__")),
     "wiki": (WIKI, ("[[", "''", "{{", "==", "{|", "|")),
     "latex": (LATEX, ("\\", "$$")),
 }
+#: Paths of files, whose backslashes begin no command.
+FILE_PATH = r"(?<![\w\\])(?:[A-Za-z]:\\|\\\\[\w.-]+\\)[^\s\"<>|{}$]*"
 
 
 def markup_kinds(text: Column) -> Column:
@@ -56,7 +66,8 @@ def markup_kinds(text: Column) -> Column:
         guard = F.lit(False)
         for needed in needs:
             guard = guard | F.contains(text, F.lit(needed))
-        found.append(F.when(guard & text.rlike(pattern), F.lit(kind)))
+        read = F.when(text.rlike(FILE_PATH), F.regexp_replace(text, FILE_PATH, "")).otherwise(text) if kind == "latex" else text
+        found.append(F.when(guard & read.rlike(pattern), F.lit(kind)))
     return F.array_compact(F.array(*found))
 
 
@@ -66,6 +77,9 @@ _TAG = re.compile(rf"(?i)</?(?:{_NAMES})(?:\s[^<>]*)?/?>")
 _COMMENT = re.compile(r"<!--.*?-->|(?i:<!doctype[^>]*>)", re.S)
 _DROPPED = re.compile(r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<title\b[^>]*>.*?</title\s*>")
 _ENTITY = re.compile(ENTITY)
+_PATH = re.compile(FILE_PATH)
+# Commands of formulas with arguments, as they stand outside of formula signs.
+_FORMULA = re.compile(r"\\(?:[dt]?frac|sqrt|binom|sum|prod|int)(?![A-Za-z])(?:\s*\[[^\]\n]*\])?(?:[_^](?:\{(?:[^{}]|\{[^{}]*\})*\}|\w)|\s*\{(?:[^{}]|\{[^{}]*\})*\})*")
 _KEEP = re.compile("\x00(\\d+)\x00")
 
 
@@ -118,6 +132,8 @@ def _latex(text: str, held: _Held) -> str:
     text = re.sub(r"\\begin\{(?:equation|align|displaymath|math)\*?\}(.*?)\\end\{(?:equation|align|displaymath|math)\*?\}", lambda m: held.put(_formula(m[1])), text, flags=re.S)
     text = re.sub(r"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)", lambda m: held.put(_formula(m[1] or m[2] or m[3])), text, flags=re.S)
     text = re.sub(r"(?<!\\)\$([^$\n]*\\[A-Za-z][^$\n]*)\$", lambda m: held.put(_formula(m[1])), text)
+    text = _PATH.sub(lambda m: held.put(m[0]), text)
+    text = _FORMULA.sub(lambda m: held.put(_formula(m[0])), text)
     text = re.sub(r"\\begin\{tabular\}(?:\{[^}]*\})?(.*?)\\end\{tabular\}", lambda m: "\n" + re.sub(r"\s*(?<!\\)&\s*", " | ", re.sub(r"\\hline", "", m[1])).replace("\\\\", "\n") + "\n", text, flags=re.S)
     text = re.sub(r"\\(?:label|ref|cite|documentclass|usepackage|vspace|hspace|pagestyle|bibliography)\*?(?:\[[^\]\n]*\])?\{[^{}]*\}", "", text)
     for level, name in enumerate(("chapter", "section", "subsection", "subsubsection"), 0):
@@ -136,7 +152,10 @@ def _latex(text: str, held: _Held) -> str:
 
 def _wiki(text: str, held: _Held) -> str:
     text = re.sub(r"\[\[(?:Category|File|Image|Media)\s*:[^\]\n]*\]\]", "", text, flags=re.I)
-    text = re.sub(r"\{\{[^{}]*\}\}", "", text)
+    before = None
+    while before != text:
+        # templates within templates go from the inside out
+        before, text = text, re.sub(r"\{\{[^{}]*\}\}", "", text)
 
     def rows(m: re.Match[str]) -> str:
         lines = []
@@ -160,6 +179,10 @@ def _markdown(text: str, held: _Held) -> str:
     text = re.sub(r"\*\*([^*\n]+)\*\*", r"\1", text)
     text = re.sub(r"\*\*(?=\S)|(?<=\S)\*\*", "", text)
     text = re.sub(r"(?<![\w*])\*([A-Za-z][^*\n]*[A-Za-z.])\*(?![\w*])", r"\1", text)
+    text = re.sub(r"(?<![\w_])__([A-Za-z][^_\n]+[^_\s])__(?![\w_])", r"\1", text)
+    text = re.sub(r"(?<![\w_])_([A-Za-z][^_\n]*[A-Za-z.])_(?![\w_])", r"\1", text)
+    text = re.sub(r"!?\[([^\]\n]+)\]\([\w./-]+\.[A-Za-z]{2,5}(?:#[\w-]*)?\)", r"\1", text)
+    text = re.sub(r"(?m)^([^\n]*[A-Za-z][^\n]*)\n={4,}[ \t]*$", r"# \1", text)
     text = re.sub(r"~~([^~\n]+)~~", r"\1", text)
     text = re.sub(r"(?m)^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*\n?", "", text)
     text = re.sub(r"(?m)^\|[ \t]*([^\n]*?)[ \t]*\|[ \t]*$", lambda m: re.sub(r"[ \t]*\|[ \t]*", " | ", m[1]), text)
@@ -186,31 +209,65 @@ def clean(text: str | None, kinds: list[str] | None = None) -> str | None:
         text = _markdown(text, held)
     if "entity" in wanted:
         text = _ENTITY.sub(lambda m: html.unescape(m[0]), text).replace("\xa0", " ")
-    if wanted:
-        text = re.sub(r"[ \t]+\n", "\n", text)
-        text = re.sub(r"\n{3,}", "\n\n", held.back(text)).strip()
-    return held.back(text)
+    return _finished(held.back(text)) if wanted else text
+
+
+def _finished(text: str) -> str:
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text)).strip()
 
 
-@pandas_udf(StringType())
-def _clean_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+#: The markup clean text keeps: headings, code and formulas as they are written in it.
+_STRUCTURE = re.compile(r"(?m)^#{1,6}[ \t]+\S|^```|\$[^$\n]*\\[^$\n]*\$")
+_CLEANED = StructType([StructField("clean_text", StringType()), StructField("changed", BooleanType())])
+
+
+@pandas_udf(_CLEANED)
+def _clean_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, kinds in batches:
-        yield pd.Series([clean(t, list(k)) for t, k in zip(texts, kinds, strict=True)], dtype=object)
+        cleaned = [clean(t, list(k)) for t, k in zip(texts, kinds, strict=True)]
+        changed = [c != _finished(_ENVELOPE.sub("", t)) or _STRUCTURE.search(c) is not None for c, t in zip(cleaned, texts, strict=True)]
+        yield pd.DataFrame({"clean_text": pd.Series(cleaned, dtype=object), "changed": pd.Series(changed, dtype=bool)})
+
+
+def without_envelope(text: Column) -> Column:
+    """A text without the tags of a filing's envelope."""
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, _ENVELOPE.pattern, "")).otherwise(text)
+
+
+#: A line that holds nothing but tags, comments and commands.
+_FRAME = rf"(?i)^\s*(?:(?:<!--.*?-->|<!doctype[^>]*>|</?(?:{_NAMES})(?:\s[^<>]*)?/?>|\\(?:begin|end|documentclass|usepackage|maketitle)\b(?:\[[^\]]*\])?(?:\{{[^{{}}]*\}})?)\s*)+$"
+
+
+def page_frames(df: DataFrame, key: str, url: str, text: str) -> DataFrame:
+    """(key, frame): the numbers of the lines of nothing but markup that a page shares with its nearest page; pages without any have no row."""
+    bare = F.filter(F.transform(lines(F.col(text)), lambda line, i: F.when(line.rlike(_FRAME), i)), lambda i: i.isNotNull())
+    marked = df.where(F.contains(text, F.lit("<")) | F.contains(text, F.lit("\\"))).select(F.col(key), bare.alias("_bare")).where("size(_bare) > 0")
+    shared = page_differences(df, key, url, text).where("size(shared) > 0").select(key, "shared")
+    return marked.join(shared, key).select(key, F.array_sort(F.array_intersect("shared", "_bare")).alias("frame")).where("size(frame) > 0").dropDuplicates([key])
 
 
-def strip_markup(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, kinds, clean_text): one row per row of df.
+def strip_markup(df: DataFrame, key: str, text: str, url: str | None = None) -> DataFrame:
+    """(key, kinds, frame_lines, changed, clean_text): one row per row of df.
 
-    Unmarked texts pass unchanged; null stays null with no kinds; an empty text stays empty.
-    Columns of df other than key and text are ignored.
+    With url, the frame a page shares with its nearest page is deleted first (frame_lines counts
+    its lines). changed says whether the text held markup: frame lines, or what its conversion took
+    out or kept as structure. Unmarked texts lose a filing's envelope and are otherwise as they were; null stays null
+    with no kinds; an empty text stays empty. Columns of df other than key, text and url are ignored.
     """
     base = df.select(F.col(key).alias(key), F.col(text).alias("_text"))
     seen = base.withColumn("kinds", F.coalesce(markup_kinds(F.col("_text")), F.array().cast("array<string>")))
-    marked = seen.where(F.size("kinds") > 0).select(key, "kinds", _clean_batches("_text", "kinds").alias("clean_text"))
-    plain = seen.where(F.size("kinds") == 0).select(key, "kinds", F.col("_text").alias("clean_text"))
+    if url is None:
+        framed = seen.withColumn("frame", F.array().cast("array<int>"))
+    else:
+        framed = seen.join(page_frames(df.select(key, text, url), key, url, text), key, "left").withColumn("frame", F.coalesce("frame", F.array().cast("array<int>")))
+    rest = F.array_join(F.filter(lines(F.col("_text")), lambda line, i: ~F.array_contains("frame", i)), "\n")
+    framed = framed.withColumn("frame_lines", F.size("frame")).withColumn("_text", F.when(F.size("frame") > 0, rest).otherwise(F.col("_text"))).drop("frame")
+    cleaned = framed.where(F.size("kinds") > 0).withColumn("c", _clean_batches("_text", "kinds"))
+    marked = cleaned.select(key, "kinds", "frame_lines", (F.col("c.changed") | (F.col("frame_lines") > 0)).alias("changed"), "c.clean_text")
+    plain = framed.where(F.size("kinds") == 0).select(key, "kinds", "frame_lines", (F.col("frame_lines") > 0).alias("changed"), without_envelope(F.col("_text")).alias("clean_text"))
     return marked.unionByName(plain)
 
 
-def marked_keys(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key): rows in which the finding stage of strip_markup sees markup; the conversion isn't needed for that."""
-    return df.where(F.size(markup_kinds(F.col(text))) > 0).select(key).distinct()
+def marked_keys(df: DataFrame, key: str, text: str, url: str | None = None) -> DataFrame:
+    """(key): rows whose text strip_markup() finds to hold markup: a shared frame, or something its conversion took out or kept as structure."""
+    return strip_markup(df, key, text, url).where("changed").select(key).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import lookalikes, markup, mixing, names, neardup, packing, splitting, tokens
+from ledgerline.llm import lookalikes, markup, mixing, names, neardup, packing, pages, splitting, tokens
 from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
 
@@ -83,12 +83,19 @@ def p4_token_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return markup.marked_keys(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    return markup.marked_keys(table(spark, d, "documents", "doc_id", "url", "text"), "doc_id", "text", "url")
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     """Every document's clean text and the kinds of markup it had."""
-    return markup.strip_markup(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text").select("doc_id", F.array_join("kinds", ",").alias("kinds"), "clean_text")
+    rows = markup.strip_markup(table(spark, d, "documents", "doc_id", "url", "text"), "doc_id", "text", "url")
+    return rows.select("doc_id", F.array_join("kinds", ",").alias("kinds"), "frame_lines", "clean_text")
+
+
+def p6_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Every page with its nearest page and the number of lines they share."""
+    rows = pages.page_differences(table(spark, d, "documents", "doc_id", "url", "text"), "doc_id", "url", "text")
+    return rows.select("doc_id", F.col("mate").alias("nearest_doc_id"), F.col("prefix").alias("common_path"), "lines", F.size("shared").alias("shared_lines"))
 
 
 def sized_documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -167,6 +174,7 @@ QUERIES = {
     "p4_token_pieces": p4_token_pieces,
     "p6_found": p6_found,
     "p6_clean": p6_clean,
+    "p6_differences": p6_differences,
     "p7_containers": p7_containers,
     "p7_report": p7_report,
     "p8_mixture": p8_mixture,
