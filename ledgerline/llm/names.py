@@ -2,9 +2,10 @@
 
 Every distinct string is read into a form: what must agree exactly (line of business, or rate,
 year and series) and what may be spelled differently (the words of the name). Forms are blocked by
-the suffixes of their words; a short suffix, common by itself, is refined by the other fields, and
-only the suffix alone is discarded. Pairs of a block are compared word by word by the ratio of
-their longest common subsequence. Forms that leave something out (an initial, no middle name) join
+the suffixes of their words. Suffixes are counted over all forms: one that more than COMMON_FORMS
+forms have is refined by the other fields (the other words' first letters), and only then discarded
+by itself; what is still a large block is paired piece by piece. Pairs of a block are compared word
+by word by the ratio of their longest common subsequence. Forms that leave something out (an initial, no middle name) join
 the one fuller entity they fit, and none if they fit several. Entities are the components.
 """
 
@@ -22,14 +23,15 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType
 
 from ledgerline.operators.graph import connected_components
+from ledgerline.operators.pairing import pairs_within
 from ledgerline.plans.lineage import cut
 
 SHORTEST_SUFFIX = 3
 #: Letters in which two spellings of an organisation's own words may differ, all words together;
 #: and where both spellings are recorded for one owner.
 MOST_SLIPS, MOST_SLIPS_OWNED = 2, 3
-#: From this length on a suffix is a key without the first letter of the other word.
-LONE_SUFFIX = 5
+#: Forms that may share a suffix before it counts as common and is refined by the other fields.
+COMMON_FORMS = 64
 
 # Legal forms as they stand at the end of a name, without dots.
 LEGAL = set("company co corporation corp inc incorporated llc plc limited ltd lp gmbh ag aktiengesellschaft sa nv partnership".split())
@@ -287,33 +289,31 @@ def fullness(kind: str, body: str) -> int:
     return sum(len(w) > 1 for w in words) if kind == "organisation" else 0
 
 
-def block_keys(kind: str, sig: str, body: str) -> list[str]:
-    """The suffixes of the words of a form, the short ones refined by its other fields.
+def block_keys(kind: str, sig: str, body: str) -> list[tuple[str, list[str]]]:
+    """(key, refinements): the suffixes of the words of a form, each with the other fields that refine it.
 
     A slip in a word's last letters spoils all its suffixes, so its first letters and the set of
-    its letters (which exchanged letters leave as it is) are keys as well.
+    its letters (which exchanged letters leave as it is) are keys as well. Rate, year and series,
+    or line of business, are part of every key, since they must agree exactly.
     """
-    words, keys = body.split(" "), set()
+    words, keys = body.split(" "), {}
 
     def add(word: str, others: set[str]) -> None:
-        for other in others:
-            for at in range(len(word) - SHORTEST_SUFFIX + 1):
-                keys.add(f"{kind[0]}|{sig}|{word[at:]}|{other}")
-            keys.add(f"{kind[0]}|{sig}|^{word[:SHORTEST_SUFFIX]}|{other}")
-            keys.add(f"{kind[0]}|{sig}|={''.join(sorted(word))}|{other}")
-        for at in range(len(word) - LONE_SUFFIX + 1):
-            keys.add(f"{kind[0]}|{sig}|{word[at:]}")
+        parts = [word[at:] for at in range(len(word) - SHORTEST_SUFFIX + 1)] + [f"^{word[:SHORTEST_SUFFIX]}", f"={''.join(sorted(word))}"]
+        for part in parts:
+            keys.setdefault(f"{kind[0]}|{sig}|{part}", set()).update(others)
 
     if kind == "instrument":
         # rate, year and series refine enough; of the words, the last letters do
-        return sorted({f"i|{sig}|{w[-SHORTEST_SUFFIX:]}" for w in words} | {f"i|{sig}|^{w[:2]}" for w in words})
+        found = {f"i|{sig}|{w[-SHORTEST_SUFFIX:]}" for w in words} | {f"i|{sig}|^{w[:2]}" for w in words}
+        return [(key, sorted({w[:1] for w in words})) for key in sorted(found)]
     if kind == "person":
         add(words[2], {words[0][0]})
-        return sorted(keys)
-    for i, word in enumerate(words):
-        if len(word) >= SHORTEST_SUFFIX:
-            add(word, {o[0] for j, o in enumerate(words) if j != i} or {word[0]})
-    return sorted(keys or {f"o|{sig}|{body}"})
+    else:
+        for i, word in enumerate(words):
+            if len(word) >= SHORTEST_SUFFIX:
+                add(word, {o[0] for j, o in enumerate(words) if j != i} or {word[0]})
+    return sorted((key, sorted(others)) for key, others in (keys or {f"{kind[0]}|{sig}|{body}": {body[:1]}}).items())
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +330,16 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [block_keys(*row) for row in rows]
         at = [i for i, own in enumerate(keys) for _ in own]
         taken = batch.select(["id", "scope", "kind", "body"]).take(pa.array(at, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*taken.columns, pa.array([k for own in keys for k in own], pa.string())], ["id", "scope", "kind", "body", "key"])
+        columns = [pa.array([k for own in keys for k, _ in own], pa.string()), pa.array([r for own in keys for _, r in own], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([*taken.columns, *columns], ["id", "scope", "kind", "body", "key", "refined"])
+
+
+def refine_common(keyed: DataFrame, most: int = COMMON_FORMS) -> DataFrame:
+    """keyed (id, scope, kind, body, key, refined) without refined: keys that more than `most` forms have give way to their refinements."""
+    common = keyed.groupBy("scope", "key").agg(F.count("*").alias("_n")).where(F.col("_n") > most).select("scope", "key", F.lit(True).alias("_common"))
+    marked = keyed.join(common, ["scope", "key"], "left")
+    keys = F.when(F.col("_common"), F.transform("refined", lambda r: F.concat("key", F.lit("|"), r))).otherwise(F.array("key"))
+    return marked.select("id", "scope", "kind", "body", F.explode(keys).alias("key"))
 
 
 @pandas_udf(IntegerType())
@@ -357,14 +366,11 @@ def link_variants(names: DataFrame) -> DataFrame:
     forms = read.groupBy("id", "scope", "kind", "sig", "body").count().drop("count")
     owner = owned.where("owner is not null").select("scope", "name", "owner").distinct().join(read.select("scope", "name", "id"), ["scope", "name"]).select("id", "owner").distinct()
     owners = owner.groupBy("id").agg(F.collect_set("owner").alias("owners"))
-    keyed = forms.mapInArrow(_keyed, "id long, scope string, kind string, body string, key string").distinct()
+    keyed = cut(forms.mapInArrow(_keyed, "id long, scope string, kind string, body string, key string, refined array<string>"))
     # spellings recorded for one owner are compared whatever their suffixes: the owner is the key
     of_owner = forms.join(owner, "id").select("id", "scope", "kind", "body", F.concat(F.lit("owner|"), F.col("owner"), F.lit("|"), F.col("kind"), F.lit("|"), F.col("sig")).alias("key"))
-    keyed = cut(keyed.unionByName(of_owner))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    pairs = a.join(b, (F.col("a.scope") == F.col("b.scope")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(
-        F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.kind").alias("kind"), F.col("a.body").alias("a_body"), F.col("b.body").alias("b_body")
-    )
+    met = pairs_within(refine_common(keyed).unionByName(of_owner), ["scope", "key"], "id", ["kind", "body"])
+    pairs = met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("a_kind").alias("kind"), "a_body", "b_body")
     known = (
         pairs.distinct()
         .join(owners.select(F.col("id").alias("a"), F.col("owners").alias("a_owners")), "a", "left")
@@ -399,7 +405,5 @@ def link_variants(names: DataFrame) -> DataFrame:
 
 def variant_pairs(linked: DataFrame) -> DataFrame:
     """(scope, name_a, name_b): the different strings of each entity, smaller first."""
-    a, b = linked.alias("a"), linked.alias("b")
-    return a.join(b, (F.col("a.scope") == F.col("b.scope")) & (F.col("a.entity") == F.col("b.entity")) & (F.col("a.name") < F.col("b.name"))).select(
-        F.col("a.scope").alias("scope"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")
-    )
+    pairs = pairs_within(cut(linked), ["scope", "entity"], "name")
+    return pairs.select("scope", F.col("a_name").alias("name_a"), F.col("b_name").alias("name_b"))
