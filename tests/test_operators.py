@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.ml.feature import IDFModel
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, text
-from ledgerline.operators import classify, graph, matching, publish, rollup, segmenting
+from ledgerline.operators import classify, clustering, graph, matching, publish, rollup, segmenting
 
 
 def one(spark, column, **values):
@@ -100,6 +101,37 @@ def test_clustering(spark):
     assert again == found and same == ids
 
 
+def test_synthesized_states_borrow_lenders(spark):
+    """A prior state that names no lender is matched by those of the mention it was made from."""
+    from decimal import Decimal
+
+    party = lambda *spans, role="lender": json.dumps([{"role": role, "kind": "named", "canonical_name": spans[0], "spans": [{"text": s} for s in spans]}])
+    columns = MENTION + ", synthesized_from_mention_id string"
+    row = lambda i, date, parties, kind=None, source=None, name=None: (f"m{i}", f"i{i}", f"acc{i}", "1", date, name, Decimal(100), "2020-01-01", None, None, None, None, None, None, "[]", parties, kind, "announced", source)
+    rows = [row(1, "2024-01-01", party("First Oak Bank, N.A.")), row(2, "2024-02-01", party("First Oak Bank", "Lender"), name="Term Loan"), row(3, "2024-03-01", "[]", "prior_amount", "m2"), row(4, "2024-04-01", party("the other lenders"), name="Bridge Loan")]
+    df = spark.createDataFrame(rows, columns)
+    prepared = {r.mention_id: r for r in matching.borrowed_lenders(matching.prepare(df)).collect()}
+    assert {i: (r.lenders, r.borrowed) for i, r in prepared.items()} == {"m1": ("first oak bank", None), "m2": ("first oak bank", None), "m3": ("", "first oak bank"), "m4": ("", None)}
+    found, _ = clusters(df)
+    assert found == {frozenset({"m1", "m2", "m3"}), frozenset({"m4"})}
+
+
+@pytest.mark.parametrize(("kind", "same"), [("fixed", False), (None, False), ("other", False), ("floating", True)])
+def test_any_rate_that_does_not_float_is_a_coupon(spark, kind, same):
+    from decimal import Decimal
+
+    row = lambda i, rate: (f"m{i}", f"i{i}", f"acc{i}", "1", "2024-01-01", "Notes due 2030", None, None, None, None, kind, Decimal(rate), None, None, "[]", "[]", None, "announced")
+    found, _ = clusters(spark.createDataFrame([row(1, "5.5"), row(2, "6.5")], MENTION))
+    assert (frozenset({"m1", "m2"}) in found) is same
+
+
+def test_a_name_only_tie_goes_to_the_living():
+    base = {"item_id": "i", "accession_number": "a", "date": "2024", "amount": None, "start": None, "end": None, "lenders": "", "coupons": [], "amendment_of": None, "split_of": None, "retired_by": [], "synthesized_by": None, "identifies": True, "class_size": 1}
+    rows = [{**base, "mention_id": f"m{i}", "item_id": f"i{i}", "date": f"202{i}", "fingerprint": "5% note", "terminal": i == 1, "amendment_of": {2: "m1"}.get(i)} for i in (1, 2, 3)]
+    edges = clustering.cluster_block(rows, lambda name: {name})
+    assert [e[:3] for e in edges if e[0] == "m3"] == [("m3", "m2", "member"), ("m3", "m1", "ambiguous_candidate")]
+
+
 def test_blocks_do_not_change_the_result(spark):
     """Clustering an issuer whole gives what clustering its blocks gives."""
     rows = [mention(i, f"i{i % 40}", f"{i % 5}% Notes due 20{30 + i % 3}" if i % 4 else None, str(100 + i % 6) if i % 3 else None, f"2020-01-0{1 + i % 4}" if i % 2 else None, date=f"2024-01-{1 + i % 28:02}") for i in range(120)]
@@ -113,7 +145,7 @@ def test_blocks_do_not_change_the_result(spark):
     size = {r.fingerprint: r.class_size for r in matching.class_sizes(prepared, pairs).collect()}
     records = [{**r.asDict(), "class_size": size[r.fingerprint]} for r in prepared.collect()]
     whole = {}
-    for m, c, kind, *_ in matching.cluster_block(records, lambda a: near.get(a, set()) | {a}):
+    for m, c, kind, *_ in clustering.cluster_block(records, lambda a: near.get(a, set()) | {a}):
         if kind == "member":
             whole.setdefault(c, set()).add(m)
     assert {frozenset(v) for v in whole.values()} == found
