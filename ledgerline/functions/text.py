@@ -144,8 +144,23 @@ def passes_gate(text: Column) -> Column:
     return F.coalesce(text.rlike(r"(?i)\b(?:" + "|".join(GATE_LEMMAS) + r")(?:s|es)?\b"), F.lit(False))
 
 
-def body_lines(text: Column) -> Column:
-    """Lines of a marked-up body: breaks at block ends, tags dropped, white space collapsed, blank lines out."""
-    broken = F.regexp_replace(text, r"(?i)<br\s*/?>|</(?:p|div|tr|li|h[1-6]|table)>", "\n")
-    plain = F.regexp_replace(broken, r"<[^<>]*>", " ")
-    return F.filter(F.transform(F.split(plain, r"\r\n|\n|\r"), lambda line: F.trim(F.regexp_replace(line, r"\s+", " "))), lambda line: line != "")
+#: Where lines end, in any script.
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def unescape(text: Column) -> Column:
+    """Character references decoded (by the JVM's text library); null stays null."""
+    decoded = F.call_function("java_method", F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), F.coalesce(text, F.lit("")))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def body_lines(body: Column) -> Column:
+    """array of (number, text): the non-blank lines of a marked-up body with their numbers from 1.
+
+    Lines end at breaks and at the ends of blocks and cells; tags go, and only then references are
+    decoded, so that an escaped sign isn't read as a tag; white space is collapsed.
+    """
+    broken = F.regexp_replace(body, r"(?i)<\s*br\s*/?\s*>|</\s*(?:p|div|tr|td|th|li|h[1-6])\s*>", "\n")
+    plain = unescape(F.regexp_replace(broken, r"<[^>]+>", " "))
+    numbered = F.transform(F.split(plain, LINE_END), lambda line, i: F.struct((i + 1).alias("number"), collapse(line).alias("text")))
+    return F.filter(numbered, lambda line: line["text"] != "")

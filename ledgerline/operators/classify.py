@@ -11,6 +11,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.rollup import running_sums
+from ledgerline.plans.lineage import cut
+
 #: Labelled rows the linear model is fitted on, at most; the sample is deterministic in the key's hash.
 FIT_ROWS = 20_000
 FEATURES = 1 << 16
@@ -35,16 +38,41 @@ def logistic(margin):
     return 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), margin))))
 
 
+def recall_curve(scores: DataFrame, score: str, label: str) -> DataFrame:
+    """(threshold, taken, hits, precision, recall): one row per distinct score, as if it were the threshold; none without positives.
+
+    Rows are added up per score before anything is ordered. Null scores and labels take no part.
+    """
+    known = scores.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(F.col(score).alias("threshold")).agg(F.sum(F.col(label).cast("long")).alias("hits"), F.count("*").alias("taken"))
+    curve = running_sums(counts, "threshold", "hits", "taken")
+    positives = curve.agg(F.sum("hits").alias("_all"))
+    joined = curve.join(F.broadcast(positives)).where("_all > 0")
+    return joined.select("threshold", F.col("taken_sum").alias("taken"), F.col("hits_sum").alias("hits"), (F.col("hits_sum") / F.col("taken_sum")).alias("precision"), (F.col("hits_sum") / F.col("_all")).alias("recall"))
+
+
 def threshold_for_recall(scores: DataFrame, score: str, label: str, recall: float) -> float:
     """The highest threshold at which at least `recall` of the positive rows are kept; 0 without positives."""
-    # scores are rounded down, since a threshold rounded up would lose the rows it stands for
-    counts = scores.groupBy((F.floor(F.col(score) * 1_000_000) / 1_000_000).alias("s")).agg(F.sum(F.col(label).cast("long")).alias("p"))
-    down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = counts.select("s", (F.sum("p").over(down) / F.sum("p").over(Window.partitionBy())).alias("r"))
-    best = curve.where(F.col("r") >= recall).agg(F.max("s")).first()[0]
+    best = recall_curve(scores, score, label).where(F.col("recall") >= recall).agg(F.max("threshold")).first()[0]
     return float(best) if best is not None else 0.0
 
 
+def average_area(scores: DataFrame, score: str, label: str) -> float | None:
+    """The area under precision over recall, by trapezoids between the distinct scores; null without positives."""
+    curve = cut(recall_curve(scores, score, label))
+    parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each point meets the next by the number of rows taken, which grows from point to point
+    ranged = cut(curve.repartitionByRange(parts, "taken").withColumn("_part", F.spark_partition_id()))
+    order = Window.partitionBy("_part").orderBy("taken")
+    ends = ranged.groupBy("_part").agg(F.max_by(F.struct("recall", "precision"), "taken").alias("_last"))
+    ends = ends.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_ended"))
+    steps = ranged.withColumn("_before", F.lag(F.struct("recall", "precision")).over(order)).join(ends, "_part")
+    # before the first point nothing is taken and precision counts as 1
+    last = F.coalesce("_before", "_ended", F.struct(F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision")))
+    area = (F.col("recall") - last["recall"]) * (F.col("precision") + last["precision"]) / 2
+    return steps.agg(F.sum(area)).first()[0]
+
+
 def fit(labelled: DataFrame, key: str, text: str, label: str, recall: float = 0.99, fit_rows: int = FIT_ROWS) -> Classifier:
     """Fit on at most fit_rows rows (two thirds), set the threshold on all labelled rows not fitted on.
 

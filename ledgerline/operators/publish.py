@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +52,70 @@ def tree_digest(spark: SparkSession, roots: list[str], context: str = "") -> str
     return hashlib.sha256(json.dumps([listed, context]).encode()).hexdigest()
 
 
+def _context(spark: SparkSession, path: str):
+    """(file context, path) of the file system that path is on."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    uri = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hpath).toUri()
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, spark._jsc.hadoopConfiguration()), hpath
+
+
 def write_text(spark: SparkSession, path: str, content: str) -> None:
-    """Write a small text through a temporary name, so that a reader sees the old or the new one."""
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Write a small text beside its place and rename it over the old one in one step: a reader sees the old or the new one, never none."""
+    context, hpath = _context(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    beside = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(beside, True)
     out.write(bytearray(content.encode()))
     out.close()
-    fs.delete(hpath, False)
-    fs.rename(beside, hpath)
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(beside, hpath, options)
+
+
+def create_text(spark: SparkSession, path: str, content: str) -> bool:
+    """Write a small text where there is none; False, and nothing written, where there is one."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(hpath, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    out.write(bytearray(content.encode()))
+    out.close()
+    return True
+
+
+def content_version(content: str | None) -> str:
+    """What a text is known by: equal texts, equal versions; that of no text is empty."""
+    return hashlib.sha256(content.encode()).hexdigest() if content is not None else ""
+
+
+def replace_text(spark: SparkSession, path: str, content: str, version: str) -> bool:
+    """Replace a text if it still has that version (compare and swap); False, and nothing written, if not.
+
+    A lock file made by create_text() keeps two writers apart; it names no owner and goes with the
+    swap. One left behind by a writer that died is an error for the caller to see.
+    """
+    lock = f"{path}.lock"
+    if not create_text(spark, lock, ""):
+        return False
+    try:
+        if content_version(read_text(spark, path)) != version:
+            return False
+        write_text(spark, path, content)
+        return True
+    finally:
+        remove(spark, lock)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -94,6 +150,5 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], digest
     kept = [*pointer.get("kept", []), generation][-keep:]
     write_text(spark, f"{root}/latest.json", json.dumps({"generation": generation, "rows": counts, "kept": kept, "digest": digest}))
     for old in set(pointer.get("kept", [])) - set(kept):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/snapshots/{old}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, f"{root}/snapshots/{old}")
     return generation

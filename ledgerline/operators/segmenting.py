@@ -1,8 +1,7 @@
-"""Cutting documents into sections, lines and windows."""
+"""Cutting documents into windows, and rebuilding windows from their spans."""
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Callable, Iterator
 
@@ -10,108 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Numbers of 8-K items, and phrases by which a line mentions an item without heading it.
-ITEM_NUMBERS = frozenset(
-    "1.01 1.02 1.03 1.04 1.05 2.01 2.02 2.03 2.04 2.05 2.06 3.01 3.02 3.03 4.01 4.02 5.01 5.02 5.03 5.04 5.05 5.06 5.07 5.08 6.01 6.02 6.03 6.04 6.05 7.01 8.01 9.01".split()
-)
-MENTION_PHRASES = ("of this report", "of this form 8-k", "of this current report")
-_HEADING = re.compile(r"^\s*item\b(?P<rest>.*)$", re.I)
-_NUMBER = re.compile(r"(?<![$€£\d.])\b(\d)\s*\.\s*(0)\s*(\d)\b(?!\s*%)")
-_TERMINAL = re.compile(r"^\s*(?:signatures?|exhibit\s+index)\s*$", re.I)
-_SUB = re.compile(r"^\s*(?:item\s+)?\d\.0\d\s*\([a-z]\)", re.I)
-ENOUGH_ALIKE = 0.95
-SECTIONS = "item string, extraction_status string, duplicate_resolution string, section_heading string, start_line long, end_line long, section_char_count long, section_text string"
-
-
-def body_lines(text: str) -> list[tuple[int, str]]:
-    """(1-based line number, text) of the non-blank lines of a body: breaks at block ends, tags out, then entities decoded."""
-    broken = re.sub(r"(?i)<br\s*/?>|</(?:p|div|tr|li|h[1-6]|table)>", "\n", text)
-    lines = html.unescape(re.sub(r"<[^<>]*>", " ", broken)).splitlines()
-    flat = ((i, " ".join(line.split())) for i, line in enumerate(lines, 1))
-    return [(i, line) for i, line in flat if line]
-
-
-def primary_body(text: str) -> str:
-    """The body of the first 8-K document of a submission, else what follows its header, else all of it."""
-    for block in re.findall(r"(?is)<DOCUMENT>(.*?)</DOCUMENT>", text):
-        kind = re.search(r"(?im)<TYPE>\s*([^\s<]+)", block)
-        if kind and kind[1].lower() == "8-k":
-            own = re.search(r"(?is)<TEXT>(.*?)(?:</TEXT>|$)", block)
-            return own[1] if own else block
-    at = text.upper().find("</SEC-HEADER>")
-    return text[at + 13 :] if at >= 0 else text
-
-
-def heading_numbers(line: str) -> tuple[str, ...]:
-    """Item numbers a line heads."""
-    if any(p in line.casefold() for p in MENTION_PHRASES):
-        return ()
-    m = _HEADING.match(line)
-    if not m:
-        return ()
-    return tuple(n for n in (f"{a}.{b}{c}" for a, b, c in _NUMBER.findall(m["rest"])) if n in ITEM_NUMBERS)
-
-
-def _plain(section: str, number: str) -> str:
-    lines = (" ".join(re.sub(r"[^\w.]+", " ", line.casefold()).split()) for line in section.split("\n"))
-    return "\n".join(line for line in lines if line and not line.isdigit() and line not in (number, f"item {number}"))
-
-
-def _alike(a: str, b: str) -> bool:
-    x, y = set(a.split()), set(b.split())
-    return a == b or (bool(x | y) and len(x & y) / len(x | y) >= ENOUGH_ALIKE)
-
-
-def sections(text: str | None) -> list[tuple]:
-    """(item, status, resolution, heading, first line, last line, characters, text) of every item of a submission, in order."""
-    if not text:
-        return []
-    lines = body_lines(primary_body(text))
-    heads = [(i, numbers) for i, (_, line) in enumerate(lines) if (numbers := heading_numbers(line))]
-    skip = set()
-    for toc in (i for i, (_, line) in enumerate(lines) if "table of contents" in line.casefold()):
-        first: dict[str, int] = {}
-        for at, (i, numbers) in enumerate(heads):
-            for n in numbers if i > toc else ():
-                first.setdefault(n, at)
-        skip |= {at for n, at in first.items() if any(n in later for _, later in heads[at + 1 :])}
-    heads = [h for at, h in enumerate(heads) if at not in skip]
-    ends = [i for i, (_, line) in enumerate(lines) if _TERMINAL.match(line)]
-    found = []
-    for number in dict.fromkeys(n for _, numbers in heads for n in numbers):
-        own = [i for i, numbers in heads if number in numbers]
-        own = [i for i in own if not _SUB.match(lines[i][1])] or own[:1]
-        candidates = []
-        for i in own:
-            stops = [j for j, numbers in heads if j > i and any(n != number for n in numbers)][:1] + [e for e in ends if e > i][:1]
-            stop = min(stops, default=len(lines))
-            section = "\n".join(line for _, line in lines[i:stop])
-            candidates.append((i, stop, section, _plain(section, number)))
-        best, how = candidates[0], "single_heading"
-        if len(candidates) > 1:
-            same = next((c for c in candidates if all(_alike(c[3], o[3]) for o in candidates)), None)
-            holds = next((c for c in candidates if all(o[3] in c[3] for o in candidates)), None)
-            best, how = (same, "benign_equivalent") if same else (holds, "benign_contained") if holds else (candidates[0], "unresolved_duplicate")
-        i, stop, section, _ = best
-        found.append((number, "duplicate_heading" if how == "unresolved_duplicate" else "ok", how, lines[i][1], lines[i][0], lines[stop - 1][0], len(section), section))
-    return found
-
-
-def itemize(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """key and one row per item section of every document; documents without one give no row."""
-    kept = documents.schema[key].dataType.simpleString()
-    names = ["item", "extraction_status", "duplicate_resolution", "section_heading", "start_line", "end_line", "section_char_count", "section_text"]
-    kinds = [pa.string()] * 4 + [pa.int64()] * 3 + [pa.string()]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [(i, s) for i, t in enumerate(batch[text].to_pylist()) for s in sections(t)]
-            at = pa.array([i for i, _ in own], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch[key].take(at), *(pa.array([s[n] for _, s in own], kind) for n, kind in enumerate(kinds))], [key, *names])
-
-    return documents.select(key, text).mapInArrow(work, f"`{key}` {kept}, {SECTIONS}")
-
-
 def word_tokens(text: str) -> int:
     """A tokenizer for where none is given: words and signs."""
     return len(re.findall(r"\w+|[^\w\s]", text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import classify, hierarchy, identity, matching, publish, segmenting, units
+from ledgerline.operators import classify, hierarchy, identity, itemizing, matching, publish, segmenting, units
 from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
 from ledgerline.streaming import stages
@@ -97,8 +97,13 @@ def inferred_lineage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def item_sections(spark: SparkSession, d: str) -> DataFrame:
-    """The item sections of every document."""
-    return segmenting.itemize(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    """The items every document declares, with their sections."""
+    return itemizing.itemize(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def document_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items every document heads, declared or not, with their sections."""
+    return itemizing.itemize(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", undeclared=True)
 
 
 def text_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +150,7 @@ def stream_poll_state(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p2_units": p2_units, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants,
     "resolved_redirects": resolved_redirects, "carried_ids": carried_ids, "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
-    "item_sections": item_sections, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
+    "item_sections": item_sections, "document_items": document_items, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
 }
 SQL = {
     "published_items": """

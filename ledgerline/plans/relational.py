@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, text
-from ledgerline.operators import graph, rollup
+from ledgerline.operators import classify, graph, rollup
 from ledgerline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -490,20 +490,14 @@ def greedy_pack(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with s as (select distinct item_id, relevance, round(classification_score, 6) score from classifications where classification_score is not null and relevance is not null),
+with s as (select distinct item_id, relevance, classification_score score from classifications where classification_score is not null and relevance is not null),
 c as (select score, sum(case when relevance then 1 else 0 end) p, count(*) n from s group by 1),
 w as (select score, sum(p) over (order by score desc) tp, sum(n) over (order by score desc) taken, sum(p) over () pos from c)
 select score threshold, tp / taken as precision, tp / pos as recall from w where tp / pos >= 0.95 order by score desc limit 1""")
 def score_threshold(spark: SparkSession, d: str) -> DataFrame:
-    """The highest threshold with the wanted recall, with its precision and recall.
-
-    Scores are added up per value of six decimals before the running sums, so the one window holds a million rows at most.
-    """
-    rows = table(spark, d, "classifications", "item_id", "relevance", "classification_score").distinct().where("classification_score is not null and relevance is not null")
-    counts = rows.groupBy(F.round("classification_score", 6).alias("threshold")).agg(F.sum(F.col("relevance").cast("long")).alias("p"), F.count("*").alias("n"))
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = counts.select("threshold", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("taken"), F.sum("p").over(Window.partitionBy()).alias("pos"))
-    return curve.select("threshold", (F.col("tp") / F.col("taken")).alias("precision"), (F.col("tp") / F.col("pos")).alias("recall")).where("recall >= 0.95").orderBy(F.desc("threshold")).limit(1)
+    """The highest threshold with the wanted recall, with its precision and recall."""
+    rows = table(spark, d, "classifications", "item_id", "relevance", "classification_score").distinct()
+    return classify.recall_curve(rows, "classification_score", "relevance").where("recall >= 0.95").orderBy(F.desc("threshold")).limit(1).select("threshold", "precision", "recall")
 
 
 @query("""

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.publish import files
+from ledgerline.operators.publish import files, remove
 from ledgerline.operators.rollup import keep_last
 
 REGISTRY = "source string, fingerprint string, complete boolean, at double"
@@ -39,10 +39,10 @@ def pending(current: DataFrame, known: DataFrame, forced: list[str] | None = Non
     return joined.where(due).select("source", "fingerprint")
 
 
-def run_stage(spark: SparkSession, source_root: str, output: str, registry_path: str, process: Callable[[DataFrame], DataFrame], partition: str, forced: list[str] | None = None) -> int:
-    """Process the pending source folders and replace their rows in output (partitioned by `partition`); how many there were.
+def run_stage(spark: SparkSession, source_root: str, output: str, registry_path: str, process: Callable[[DataFrame], DataFrame], partition: str, forced: list[str] | None = None, order: tuple[str, ...] = ("source",)) -> int:
+    """Process the pending source folders and replace their rows in output (partitioned by `partition`, in files sorted by `order`); how many there were.
 
-    process gets the rows of the pending sources with a column `source` and must keep both. The
+    A partition left without rows, since its sources now write elsewhere, goes. process gets the rows of the pending sources with a column `source` and must keep both. The
     registry is written last: a crash before it only makes the same sources pending again.
     """
     due = pending(fingerprints(spark, source_root), registry(spark, registry_path), forced)
@@ -52,6 +52,7 @@ def run_stage(spark: SparkSession, source_root: str, output: str, registry_path:
     rows = spark.read.option("mergeSchema", True).option("basePath", source_root).parquet(*[r["source"] for r in sources])
     rows = rows.withColumn("source", F.regexp_replace(F.regexp_extract(F.input_file_name(), r"^(.*)/[^/]*$", 1), "^file:/+", "file:/"))
     fresh = process(rows)
+    gone = []
     if files(spark, output):
         old = spark.read.parquet(output)
         touched = fresh.select(partition).unionByName(old.join(due.select("source"), "source", "left_semi").select(partition)).distinct()
@@ -59,7 +60,13 @@ def run_stage(spark: SparkSession, source_root: str, output: str, registry_path:
         fresh = kept.unionByName(fresh, allowMissingColumns=True)
     staged = f"{output}.staged"
     fresh.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).repartition(F.col(partition)).sortWithinPartitions("source").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(output)
+    if files(spark, output):
+        # partitions whose rows all came from reprocessed sources that no longer write there
+        left = spark.read.parquet(staged).select(partition).distinct()
+        gone = [r[0] for r in touched.join(left, partition, "left_anti").collect()]
+    spark.read.parquet(staged).repartition(F.col(partition)).sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(output)
+    for value in gone:
+        remove(spark, f"{output}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     now = time.time()
     due.withColumn("complete", F.lit(True)).withColumn("at", F.lit(now)).write.mode("append").parquet(registry_path)
     return len(sources)

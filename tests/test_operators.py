@@ -170,15 +170,6 @@ def test_lineage_follows_all_pointers_and_breaks_cycles(spark):
     assert len(found) == 8
 
 
-def test_sections():
-    body = "<DOCUMENT><TYPE>8-K\n<TEXT>Table of Contents\nItem 8.01 Other Events\nItem 8.01 Other Events\nFirst line.\nItem 9 . 01 Exhibits\nlist\nSIGNATURES\nend</TEXT></DOCUMENT>"
-    found = {s[0]: s for s in segmenting.sections(body)}
-    assert found["8.01"][1] == "ok" and "First line." in found["8.01"][7] and "Exhibits" not in found["8.01"][7]
-    assert found["9.01"][7].endswith("list")
-    assert segmenting.sections(None) == [] and segmenting.sections("no items") == []
-    assert segmenting.heading_numbers("Item 1.05% Notes") == ()
-
-
 @pytest.mark.parametrize("most", [1, 4, 17])
 def test_windows_tile_the_text(most):
     body = "a. b. c.\n\nlong words here, and more of them; " * 7 + "unbroken" * 9
@@ -227,3 +218,28 @@ def test_classifier_statistics_cover_all_rows(spark):
 def test_threshold_keeps_the_recall(spark):
     scores = spark.createDataFrame([(0.1234566, True), (0.5, True), (0.05, False)], "s double, y boolean")
     assert scores.where(F.col("s") >= classify.threshold_for_recall(scores, "s", "y", 1.0)).count() == 2
+
+
+def test_running_sums_and_areas_over_ranges(spark):
+    rng = random.Random(7)
+    rows = [(i, round(rng.random(), 2) if i % 3 else 0.5, bool(rng.random() < 0.4)) for i in range(500)] + [(501, None, True), (502, 0.3, None)]
+    df = spark.createDataFrame(rows, "id int, s double, y boolean")
+    known = [(s, y) for _, s, y in rows if s is not None and y is not None]
+    total, area, last = sum(y for _, y in known), 0.0, (0.0, 1.0)
+    expected = {}
+    for score in sorted({s for s, _ in known}, reverse=True):
+        kept = [y for s, y in known if s >= score]
+        point = (sum(kept) / total, sum(kept) / len(kept))
+        expected[score] = point
+        area += (point[0] - last[0]) * (point[1] + last[1]) / 2
+        last = point
+    found = {r.threshold: (r.recall, r.precision) for r in classify.recall_curve(df, "s", "y").collect()}
+    assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k]) for k in expected)
+    assert classify.average_area(df, "s", "y") == pytest.approx(area)
+    assert classify.average_area(df.limit(0), "s", "y") is None
+
+
+def test_first_and_last_rows_of_keys(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", None, "z"), (None, 2, "n"), (None, 1, "m")], "k string, o int, v string")
+    assert {(r.k, r.v) for r in rollup.keep_last(df, ["k"], F.col("o")).collect()} == {("a", "y"), (None, "n")}
+    assert {(r.k, r.v) for r in rollup.keep_first(df, ["k"], F.col("o")).collect()} == {("a", "z"), (None, "m")}

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from ledgerline.operators import publish
 from ledgerline.streaming import stages
 
 
@@ -16,6 +17,29 @@ def test_stage_replaces_by_source_and_is_idempotent(spark, tmp_path):
     assert sorted(r.w for r in spark.read.parquet(out).collect()) == [10, 30, 70]
 
 
+def test_a_partition_that_sources_left_goes(spark, tmp_path):
+    """A source that moves to another partition leaves nothing behind in the one it leaves."""
+    source, out, registry = (str(tmp_path / n) for n in ("src", "out", "reg"))
+    write = lambda month, v: spark.createDataFrame([("s1", month, v)], "name string, month string, v int").coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("name").parquet(source)
+    run = lambda: stages.run_stage(spark, source, out, registry, lambda df: df.select("month", "v", "source"), "month", order=("v",))
+    write("2025-01", 1)
+    assert run() == 1
+    write("2025-02", 1)
+    assert run() == 1
+    assert [(r.month, r.v) for r in spark.read.parquet(out).collect()] == [("2025-02", 1)]
+
+
+def test_texts_are_swapped_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/pointer.json"
+    assert publish.read_text(spark, path) is None
+    assert publish.replace_text(spark, path, "one", "") and publish.read_text(spark, path) == "one"
+    assert not publish.replace_text(spark, path, "two", "") and publish.read_text(spark, path) == "one"
+    assert publish.replace_text(spark, path, "two", publish.content_version("one")) and publish.read_text(spark, path) == "two"
+    assert not publish.create_text(spark, path, "three") and publish.create_text(spark, path + "2", "three")
+    publish.write_text(spark, path, "four")
+    assert publish.read_text(spark, path) == "four" and len([f for f in publish.files(spark, f"file://{tmp_path}") if "pointer" in f[0]]) == 2
+
+
 def test_poll_goes_on_from_its_checkpoint(spark, tmp_path):
     source, check, sink = (str(tmp_path / n) for n in ("events", "check", "sink"))
     schema = "event_id long, ts timestamp, user_id long, event_type string"
