@@ -182,13 +182,26 @@ def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> C
 
 
 _POSTINGS = "range int, run binary, side binary, place binary, position binary, ids binary, sizes binary"
-_NUMBERS = {"a": pa.int64(), "b": pa.int64(), "n_a": pa.int32(), "n_b": pa.int32(), "p_a": pa.int32(), "p_b": pa.int32(), "common": pa.int32()}
-_MATCHES = "a long, b long, n_a int, n_b int, p_a int, p_b int, common int"
+_NUMBERS = {"a": pa.int64(), "b": pa.int64(), "common": pa.int32(), "mark": pa.int32()}
+_MATCHES = "a long, b long, common int, mark int"
 
 
-def _match_batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Matches of pairs of classes: sizes, first positions and the number of common runs."""
-    return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) for name, kind in _NUMBERS.items()], list(_NUMBERS))
+def _match_batch(a: np.ndarray, b: np.ndarray, common: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
+    """Matches of pairs of classes: the number of common runs, and what _needed() makes of the pair."""
+    return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip((a, b, common, mark), _NUMBERS.values(), strict=True)], list(_NUMBERS))
+
+
+def _needed(t: float, n_a: np.ndarray, n_b: np.ndarray, p_a: np.ndarray, p_b: np.ndarray) -> np.ndarray:
+    """Twice the matches that a pair needs within its prefixes, plus 1 if what is left from its first match on suffices.
+
+    A pair needs so many common runs as its sizes and t demand; behind the prefixes it can have those
+    of the longer rest at most. The first part is the same in every range, the second one is true in
+    the range of the pair's first match if it is true at all.
+    """
+    need = np.ceil(t / (1 + t) * (n_a.astype(np.float64) + n_b) - 1e-6).astype(np.int64)
+    rest = np.maximum(np.ceil(t * n_a - 1e-6), np.ceil(t * n_b - 1e-6)).astype(np.int64) - 1
+    left = np.minimum(n_a.astype(np.int64) - p_a, n_b.astype(np.int64) - p_b)
+    return 2 * np.maximum(need - rest, 0) + (left >= need)
 
 
 class _Pairs:
@@ -196,7 +209,8 @@ class _Pairs:
 
     LIMIT = 1_000_000
 
-    def __init__(self) -> None:
+    def __init__(self, t: float) -> None:
+        self.t = t
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.held = 0
 
@@ -214,10 +228,10 @@ class _Pairs:
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
         new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        columns = {"a": a[new], "b": b[new], "n_a": n_a[order][new], "n_b": n_b[order][new]}
-        columns |= {"p_a": np.minimum.reduceat(p_a[order], new), "p_b": np.minimum.reduceat(p_b[order], new), "common": np.diff(np.r_[new, a.size])}
+        firsts = np.minimum.reduceat(p_a[order], new), np.minimum.reduceat(p_b[order], new)
+        out = a[new], b[new], np.diff(np.r_[new, a.size]), _needed(self.t, n_a[order][new], n_b[order][new], *firsts)
         for at in range(0, new.size, 100_000):
-            yield _match_batch({k: v[at : at + 100_000] for k, v in columns.items()})
+            yield _match_batch(*(v[at : at + 100_000] for v in out))
 
 
 def _filtered(pairs: _Pairs, t: float, ida, na, pa_, idb, nb, pb) -> None:
@@ -257,7 +271,7 @@ def _range_matches(parts: list[tuple], t: float) -> Iterator[pa.RecordBatch]:
     run, side, ids, n, position = run[several], side[several], ids[several], n[several], position[several]
     if not run.size:
         return
-    pairs = _Pairs()
+    pairs = _Pairs(t)
     edges = np.flatnonzero(np.r_[True, run[1:] != run[:-1], True])
     length = np.diff(edges)
     left = np.repeat(length, length) - (np.arange(run.size) - np.repeat(edges[:-1], length)) - 1
@@ -276,14 +290,11 @@ def _range_matches(parts: list[tuple], t: float) -> Iterator[pa.RecordBatch]:
     yield from pairs.flush()
 
 
-def _candidates(matches: DataFrame, t: float) -> DataFrame:
+def _candidates(matches: DataFrame) -> DataFrame:
     """(a, b): pairs that pass the positional filter (what is left from the first match on suffices)
     and the count filter (the matches in the prefixes and all of the longer rest suffice)."""
-    rest = lambda n: F.ceil(F.lit(t) * F.col(n) - 1e-6) - 1  # noqa: E731  runs behind the prefix
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - 1e-6)
-    added = matches.groupBy("a", "b").agg(F.sum("common").alias("common"), *(F.min(c).alias(c) for c in ("n_a", "n_b", "p_a", "p_b")))
-    near = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= need
-    return added.where(near & (F.col("common") + F.greatest(rest("n_a"), rest("n_b")) >= need)).select("a", "b")
+    added = matches.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("mark").alias("mark"))
+    return added.where((F.col("mark") % 2 == 1) & (F.col("common") >= F.floor(F.col("mark") / 2))).select("a", "b")
 
 
 def _run_sets(df: DataFrame, width: int, looks: str | None, bitmap) -> DataFrame:
@@ -364,8 +375,8 @@ def class_pairs(
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(runs * (1 - threshold)) // range_runs))
     counts = sc.broadcast(counts)
     postings = df.select("kind", "text").mapInArrow(_postings(width, threshold, looks, counts, ranges), _POSTINGS)
-    matches = cut(postings.repartitionById(ranges, F.col("range")).mapInArrow(_join(threshold), _MATCHES))
-    pairs = cut(_candidates(matches, threshold))
+    matches = postings.repartitionById(ranges, F.col("range")).mapInArrow(_join(threshold), _MATCHES)
+    pairs = cut(_candidates(matches))
 
     def add(batch: pa.RecordBatch, cells: np.ndarray) -> None:
         for side in ("a", "b"):
