@@ -182,7 +182,8 @@ def _markdown(text: str, held: _Held) -> str:
     text = re.sub(r"(?<![\w_])__([A-Za-z][^_\n]+[^_\s])__(?![\w_])", r"\1", text)
     text = re.sub(r"(?<![\w_])_([A-Za-z][^_\n]*[A-Za-z.])_(?![\w_])", r"\1", text)
     text = re.sub(r"!?\[([^\]\n]+)\]\([\w./-]+\.[A-Za-z]{2,5}(?:#[\w-]*)?\)", r"\1", text)
-    text = re.sub(r"(?m)^([^\n]*[A-Za-z][^\n]*)\n={4,}[ \t]*$", r"# \1", text)
+    if "====" in text:
+        text = re.sub(r"(?m)^(?=[^\n]*[A-Za-z])([^\n]+)\n={4,}[ \t]*$", r"# \1", text)
     text = re.sub(r"~~([^~\n]+)~~", r"\1", text)
     text = re.sub(r"(?m)^\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)*\|?[ \t]*\n?", "", text)
     text = re.sub(r"(?m)^\|[ \t]*([^\n]*?)[ \t]*\|[ \t]*$", lambda m: re.sub(r"[ \t]*\|[ \t]*", " | ", m[1]), text)
@@ -224,8 +225,8 @@ _CLEANED = StructType([StructField("clean_text", StringType()), StructField("cha
 @pandas_udf(_CLEANED)
 def _clean_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, kinds in batches:
-        cleaned = [clean(t, list(k)) for t, k in zip(texts, kinds, strict=True)]
-        changed = [c != _finished(_ENVELOPE.sub("", t)) or _STRUCTURE.search(c) is not None for c, t in zip(cleaned, texts, strict=True)]
+        cleaned = [None if t is None else clean(t, list(k)) for t, k in zip(texts, kinds, strict=True)]
+        changed = [c is not None and (_STRUCTURE.search(c) is not None or c != _finished(_ENVELOPE.sub("", t))) for c, t in zip(cleaned, texts, strict=True)]
         yield pd.DataFrame({"clean_text": pd.Series(cleaned, dtype=object), "changed": pd.Series(changed, dtype=bool)})
 
 
@@ -262,10 +263,11 @@ def strip_markup(df: DataFrame, key: str, text: str, url: str | None = None) ->
         framed = seen.join(page_frames(df.select(key, text, url), key, url, text), key, "left").withColumn("frame", F.coalesce("frame", F.array().cast("array<int>")))
     rest = F.array_join(F.filter(lines(F.col("_text")), lambda line, i: ~F.array_contains("frame", i)), "\n")
     framed = framed.withColumn("frame_lines", F.size("frame")).withColumn("_text", F.when(F.size("frame") > 0, rest).otherwise(F.col("_text"))).drop("frame")
-    cleaned = framed.where(F.size("kinds") > 0).withColumn("c", _clean_batches("_text", "kinds"))
-    marked = cleaned.select(key, "kinds", "frame_lines", (F.col("c.changed") | (F.col("frame_lines") > 0)).alias("changed"), "c.clean_text")
-    plain = framed.where(F.size("kinds") == 0).select(key, "kinds", "frame_lines", (F.col("frame_lines") > 0).alias("changed"), without_envelope(F.col("_text")).alias("clean_text"))
-    return marked.unionByName(plain)
+    # unmarked texts go by as nulls: kinds are found once, and only marked texts reach Python
+    marked = F.size("kinds") > 0
+    cleaned = framed.withColumn("c", _clean_batches(F.when(marked, F.col("_text")), F.when(marked, F.col("kinds"))))
+    changed = F.coalesce("c.changed", F.lit(False)) | (F.col("frame_lines") > 0)
+    return cleaned.select(key, "kinds", "frame_lines", changed.alias("changed"), F.when(marked, F.col("c.clean_text")).otherwise(without_envelope(F.col("_text"))).alias("clean_text"))
 
 
 def marked_keys(df: DataFrame, key: str, text: str, url: str | None = None) -> DataFrame:
