@@ -17,7 +17,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ledgerline.functions.text import normalize_cik
 from ledgerline.operators.publish import files, remove
@@ -140,7 +140,7 @@ def decoded(content: bytes | None) -> str | None:
     return body.decode("utf-8", errors="replace")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield batch.map(decoded)
