@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import domain, relational
+from ledgerline.plans import domain, evidence, relational
 
 FLAGSHIP = "entity_rollup"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**relational.QUERIES, **domain.QUERIES}
-SQL: dict[str, str] = {**relational.SQL, **domain.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**relational.QUERIES, **domain.QUERIES, **evidence.QUERIES}
+SQL: dict[str, str] = {**relational.SQL, **domain.SQL, **evidence.SQL}

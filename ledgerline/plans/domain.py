@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import parties, text
-from ledgerline.operators import classify, hierarchy, identity, itemizing, matching, publish, segmenting, units
+from ledgerline.operators import classify, hierarchy, identity, itemizing, matching, prose, publish, segmenting, units
 from ledgerline.plans.lineage import cut
 from ledgerline.sources.tables import table
 from ledgerline.streaming import stages
@@ -128,6 +128,20 @@ def text_windows(spark: SparkSession, d: str) -> DataFrame:
     return segmenting.split_windows(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def prose_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The prose documents of every submission, without prologues of facts, and whether they pass the keyword gate."""
+    bodies = prose.without_prologue(prose.prose_documents(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text"), "body")
+    return bodies.select("doc_id", "document_index", "document_type", F.char_length("body").alias("chars"), F.sha2("body", 256).alias("source_sha256"), text.passes_gate(F.col("body")).alias("passes"))
+
+
+def expanded_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The windows of every document that pass the keyword gate, with the context before them, merged where they meet."""
+    documents = table(spark, d, "documents", "doc_id", "text")
+    cut_up = cut(segmenting.split_windows(documents, "doc_id", "text"))
+    passing = segmenting.rebuild_windows(cut_up, documents, "doc_id", "text").where("fresh").where(text.passes_gate(F.col("window_text")))
+    return prose.expand_windows(passing.select("doc_id", "window", "start", "end"), documents, ["doc_id"], "text")
+
+
 def item_relevance(spark: SparkSession, d: str) -> DataFrame:
     """Every item's relevance as scored by a linear model fitted on a bounded sample; document frequencies and threshold cover all items."""
     items = table(spark, d, "classifications", "item_id", "text", "relevance").dropDuplicates(["item_id"])
@@ -174,7 +188,7 @@ def stream_poll_state(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found, "p2_amounts": p2_amounts, "p2_scales": p2_scales, "p2_units": p2_units, "p5_found": p5_found, "p5_nodes": p5_nodes, "p5_descendants": p5_descendants, "p5_further_parents": p5_further_parents,
     "resolved_redirects": resolved_redirects, "carried_ids": carried_ids, "instrument_edges": instrument_edges, "instrument_rollup": instrument_rollup, "item_rollup": item_rollup, "instrument_lineage": instrument_lineage, "inferred_lineage": inferred_lineage,
-    "item_sections": item_sections, "document_items": document_items, "text_windows": text_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
+    "item_sections": item_sections, "document_items": document_items, "text_windows": text_windows, "prose_bodies": prose_bodies, "expanded_windows": expanded_windows, "item_relevance": item_relevance, "published_items": published_items, "stream_poll_state": stream_poll_state,
 }
 SQL = {
     "item_rollup": """

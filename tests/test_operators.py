@@ -193,7 +193,8 @@ def test_publish(spark, tmp_path):
     assert publish.tree_digest(spark, [root]) != publish.tree_digest(spark, [root], "other")
 
 
-def test_classifier(spark):
+def test_classifier(spark, monkeypatch):
+    monkeypatch.setattr(classify, "FEATURES", 1 << 10)
     rows = [(str(i), ("loan notes indenture " if i % 3 else "dividend meeting vote ") * 3 + f"w{i}", bool(i % 3)) for i in range(300)] + [("n", None, None)]
     df = spark.createDataFrame(rows, "id string, body string, good boolean")
     scored = classify.fit(df, "id", "body", "good", recall=0.95).score(df, "body").collect()
@@ -201,8 +202,9 @@ def test_classifier(spark):
     assert len(scored) == 301 and right / 300 > 0.95
 
 
-def test_classifier_statistics_cover_all_rows(spark):
+def test_classifier_statistics_cover_all_rows(spark, monkeypatch):
     """A bounded sample fits the linear model only: document counts and the threshold come from every row."""
+    monkeypatch.setattr(classify, "FEATURES", 1 << 10)
     rng = random.Random(3)
     body = lambda good: " ".join(rng.choice(("loan", "notes") if rng.random() < (0.6 if good else 0.4) else ("vote", "meeting")) for _ in range(12))
     rows = [(str(i), body(i % 2), bool(i % 2)) for i in range(3000)] + [("n", "loan", None), ("n2", None, None)]
