@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import body_lines
+from ledgerline.functions.text import body_lines, collapse
 
 # Types of the documents that are prose.
 PROSE_TYPES = r"(?i)^(?:6-K(?:/A)?|EX-99(?:\.\d+)?|EX-1(?:\.\d+)?|EX-4(?:\.\d+)?|EX-10(?:\.\d+)?)$"
@@ -73,6 +73,54 @@ def without_prologue(df: DataFrame, text: str) -> DataFrame:
     return rows.withColumn(text, F.when(off, rest).otherwise(F.col(text))).drop("_lines", "_first", "_facts", "_end", "_block")
 
 
+# Types of exhibits that are always transaction documents.
+TRANSACTION_TYPES = r"(?i)^EX-(?:1|4|10)(?:\.|$)"
+# Lines of a cover page, which say nothing of a document's kind.
+COVER = (
+    r"(?i)securities\s+and\s+exchange\s+commission|washington,?\s+d\.?c|form\s+6-k|report\s+of\s+foreign\s+private\s+issuer|rule\s+13a-16|15d-16|commission\s+file\s+number|form\s+20-f|form\s+40-f|regulation\s+s-t"
+    r"|indicate\s+by\s+check\s+mark|exact\s+name\s+of\s+registrant|translation\s+of\s+registrant|address\s+of\s+principal|for\s+the\s+month\s+of|securities\s+exchange\s+act\s+of\s+1934|12g3-2|signature|\(check\s+one\)"
+    r"|furnishing\s+(?:the\s+)?information|incorporat(?:ed|ion)\s+by\s+reference"
+)
+# Titles of transaction documents, titles of reports, and names of financial statements.
+AGREEMENT = (
+    r"(?i)\b(?:credit|loan|facility|facilities|underwriting|purchase|subscription|arrangement|merger|amalgamation|cooperation|implementation|sales|distribution|dealer|agency|guarantee|guaranty|security|intercreditor"
+    r"|amending|amendment|commitment)\s+agreement\b|\b(?:supplemental\s+)?indenture\b|\bexecution\s+(?:version|copy)\b|\bconformed\s+copy\b|\bas\s+borrowers?\b|\bglobal\s+(?:note|security)\b"
+    r"|\bofficer['’]?s['’]?\s+certificate\b|\bpricing\s+supplement\b|\bfinal\s+terms\b|\bconsent\s+solicitations?\b|\birrevocable\s+undertaking\b|\bcapitali[sz]ation\s+and\s+indebtedness\b"
+)
+REPORT = (
+    r"(?i)(?:condensed\s+)?(?:consolidated\s+)?(?:interim\s+)?(?:unaudited\s+)?(?:condensed\s+)?(?:consolidated\s+)?(?:interim\s+)?financial\s+(?:statements|information|report)"
+    r"|management['’]?s\s+discussion\s+and\s+analysis|\bmd&a\b|report\s+of\s+independent\s+registered|independent\s+auditor['’]?s?\s+report|report\s+on\s+review\s+of\s+interim"
+    r"|\bannual\s+report\b|\binterim\s+report\b|\bquarterly\s+report\b|half[-\s]year(?:ly)?\s+(?:report|results|financial)|\breports?\b[^.]{0,80}\b(?:quarter|half|year|annual|interim)\b[^.]{0,40}\bresults\b"
+    r"|\b(?:first|second|third|fourth)\s+quarter\s+(?:\d{4}\s+)?(?:financial\s+)?results\b|\b(?:full[-\s]year|annual|year[-\s]end)\s+(?:\d{4}\s+)?results\b"
+    r"|\bresults\s+for\s+the\s+(?:first|second|third|fourth|three|six|nine|twelve)\b|\b[1-4]Q\d{2}\b|\b[1-4]Q\s?20\d\d\b|\bearnings\s+release\b|\breference\s+form\b|formul[aá]rio\s+de\s+refer[eê]ncia"
+    r"|annual\s+information\s+form|management\s+(?:information|proxy)\s+circular|notice\s+of\s+(?:annual|special)\s+(?:general\s+)?meeting|sustainability\s+report|production\s+report|operating\s+results"
+)
+STATEMENT = (
+    r"(?i)balance\s+sheets?|statements?\s+of\s+financial\s+position|statements?\s+of\s+cash\s+flows?|cash\s+flow\s+statements?|income\s+statements?|statements?\s+of\s+(?:income|operations|profit\s+or\s+loss|comprehensive\s+income)"
+    r"|notes\s+to\s+the\s+(?:\w+\s+){0,4}financial\s+statements|statements?\s+of\s+changes\s+in\s+(?:shareholders['’]?\s+)?equity"
+)
+#: Characters behind the cover in which titles count; statements and characters of a report without a title.
+AGREEMENT_CHARS, REPORT_CHARS, STATEMENTS, STATEMENT_CHARS = 400, 1000, 3, 30_000
+
+
+def with_kind(df: DataFrame, body: str, document_type: str) -> DataFrame:
+    """df with kind (event or report) and rule, of a document's body and type: the first rule that holds.
+
+    exhibit_type: an exhibit that is a transaction document. agreement_title, report_title: whichever
+    title stands first behind the cover. statements: a long body that names financial statements.
+    default: an event. A null body is an event by default.
+    """
+    lines = F.filter(F.transform(F.split(body, "\n"), F.trim), lambda line: (line != "") & ~line.rlike(COVER))
+    rows = df.withColumn("_head", F.substring(collapse(F.array_join(lines, " ")), 1, REPORT_CHARS))
+    place = lambda text, pattern: F.when(text.rlike(pattern), F.regexp_instr(text, F.lit(pattern)))
+    rows = rows.withColumn("_agreement", place(F.substring("_head", 1, AGREEMENT_CHARS), AGREEMENT)).withColumn("_report", place(F.col("_head"), REPORT))
+    exhibit = F.coalesce(F.trim(document_type).rlike(TRANSACTION_TYPES), F.lit(False))
+    agreed = F.col("_agreement").isNotNull() & (F.col("_report").isNull() | (F.col("_agreement") <= F.col("_report")))
+    stated = F.coalesce((F.char_length(body) >= STATEMENT_CHARS) & (F.regexp_count(body, F.lit(STATEMENT)) >= STATEMENTS), F.lit(False))
+    rule = F.when(exhibit, "exhibit_type").when(agreed, "agreement_title").when(F.col("_report").isNotNull(), "report_title").when(stated, "statements").otherwise("default")
+    return rows.withColumn("rule", rule).withColumn("kind", F.when(F.col("rule").isin("report_title", "statements"), "report").otherwise("event")).drop("_head", "_agreement", "_report")
+
+
 def is_header(line: str, alone: bool) -> bool:
     """Whether a line heads a section: numbered, or standing alone (a blank line before it) in capitals, with a colon, or titled.
 

@@ -125,9 +125,14 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(r[0] for r in spark.read.text(path).collect())
 
 
+def shrunk(before, now, least_share: float = LEAST_SHARE):
+    """Whether a table has so few rows left that it must not be published; of numbers and of columns."""
+    return now < least_share * before
+
+
 def guard(before: dict[str, int], now: dict[str, int], least_share: float = LEAST_SHARE) -> None:
     for name, rows in before.items():
-        if rows and now.get(name, 0) < least_share * rows:
+        if rows and shrunk(rows, now.get(name, 0), least_share):
             raise ShrinkError(f"{name}: {now.get(name, 0)} rows after {rows}")
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import dates, text
-from ledgerline.operators import classify, graph, rollup
+from ledgerline.functions import dates, evidence, text
+from ledgerline.operators import classify, graph, prose, publish, rollup, segmenting
 from ledgerline.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -304,7 +304,7 @@ def shrink_guard(spark: SparkSession, d: str) -> DataFrame:
     count = lambda df, when, name: df.agg(F.count(F.when(when, 1)).alias(name))
     one = documents.agg(F.count(F.when(F.col("date") < "2025-01-01", 1)).alias("before"), F.count("*").alias("now")).withColumn("name", F.lit("documents"))
     two = mentions.agg(F.count("*").alias("before"), F.count(F.when(F.col("date") < "2023-06-01", 1)).alias("now")).withColumn("name", F.lit("mentions"))
-    return one.unionByName(two).select("name", "before", "now", (F.col("now") < 0.5 * F.col("before")).alias("refused"))
+    return one.unionByName(two).select("name", "before", "now", publish.shrunk(F.col("before"), F.col("now")).alias("refused"))
 
 
 @query("""
@@ -382,9 +382,7 @@ select o_orderkey, '$' || cast(cast(o_totalprice / 1000 as decimal(18,1)) as var
 def amount_parse(spark: SparkSession, d: str) -> DataFrame:
     """Written amounts read back to whole units by figure and scale word (Column expressions)."""
     rows = table(spark, d, "orders", "o_orderkey", "o_totalprice").select("o_orderkey", F.concat(F.lit("$"), (F.col("o_totalprice") / 1000).cast("decimal(18,1)").cast("string"), F.lit(" thousand")).alias("written"))
-    figure = F.regexp_replace(F.regexp_extract("written", r"\d[\d,]*(?:\.\d+)?", 0), ",", "").cast("decimal(20,2)")
-    scale = F.when(F.col("written").rlike(r"\bbillion\b"), 10**9).when(F.col("written").rlike(r"\bmillion\b"), 10**6).when(F.col("written").rlike(r"\bthousand\b"), 1000).otherwise(1)
-    return rows.withColumn("amount", (figure * scale).cast("decimal(38,2)").cast("string"))
+    return rows.withColumn("amount", evidence.amount(F.col("written")).cast("decimal(38,2)").cast("string"))
 
 
 @query("""
@@ -407,22 +405,22 @@ def keyword_gate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", text.passes_gate(F.col("text")).alias("passes"))
 
 
-@query("""
-with t as (select doc_id, lower(text) t, length(text) n from documents where text is not null),
-p as (select *, strpos(t, 'indenture') a, strpos(t, 'annual report') r, (length(t) - length(replace(t, 'balance sheet', ''))) / 13 s from t)
-select doc_id, case when a > 0 and a <= 400 and (r = 0 or a <= r) then 'event' when r > 0 and r <= 1000 then 'report' when n >= 30000 and s >= 3 then 'report' else 'event' end kind,
-case when a > 0 and a <= 400 and (r = 0 or a <= r) then 'agreement_title' when r > 0 and r <= 1000 then 'report_title' when n >= 30000 and s >= 3 then 'statements' else 'default' end as rule from p""")
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+@query(rf"""
+with l as (select distinct doc_id, form_type, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '' and not regexp_matches(x, '{_quoted(prose.COVER)}')) w from documents),
+h as (select *, substr(trim(regexp_replace(array_to_string(w, ' '), '\s+', ' ', 'g')), 1, 1000) head from l),
+p as (select *, case when regexp_matches(substr(head, 1, 400), '{_quoted(prose.AGREEMENT)}') then length(regexp_extract(substr(head, 1, 400), '(?s)^(.*?)(?:{_quoted(prose.AGREEMENT)})', 1)) end a,
+  case when regexp_matches(head, '{_quoted(prose.REPORT)}') then length(regexp_extract(head, '(?s)^(.*?)(?:{_quoted(prose.REPORT)})', 1)) end r, len(regexp_extract_all(text, '{_quoted(prose.STATEMENT)}')) s from h),
+k as (select doc_id, case when regexp_matches(coalesce(trim(form_type), ''), '{prose.TRANSACTION_TYPES}') then 'exhibit_type' when a is not null and (r is null or a <= r) then 'agreement_title' when r is not null then 'report_title'
+  when length(text) >= 30000 and s >= 3 then 'statements' else 'default' end as rule from p)
+select doc_id, rule, case when rule in ('report_title', 'statements') then 'report' else 'event' end kind from k""")
 def document_kind(spark: SparkSession, d: str) -> DataFrame:
     """Event or report, by the first rule that holds."""
-    rows = table(spark, d, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.lower("text").alias("t"), F.length("text").alias("n"))
-    a, r = F.instr("t", "indenture"), F.instr("t", "annual report")
-    agreement = (a > 0) & (a <= 400) & ((r == 0) | (a <= r))
-    title = (r > 0) & (r <= 1000)
-    statements = (F.col("n") >= 30000) & (F.regexp_count("t", F.lit("balance sheet")) >= 3)
-    return rows.select(
-        "doc_id", F.when(agreement, "event").when(title | statements, "report").otherwise("event").alias("kind"),
-        F.when(agreement, "agreement_title").when(title, "report_title").when(statements, "statements").otherwise("default").alias("rule"),
-    )
+    rows = table(spark, d, "documents", "doc_id", "form_type", "text").distinct()
+    return prose.with_kind(rows, "text", "form_type").select("doc_id", "rule", "kind")
 
 
 @query(r"""
@@ -455,7 +453,9 @@ def span_rebuild(spark: SparkSession, d: str) -> DataFrame:
     """Windows rebuilt from their offsets, with check values of the window and its source."""
     rows = table(spark, d, "documents", "doc_id", "text").where(F.length("text") > 0)
     spans = rows.withColumn("window", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 1000).cast("long"))))
-    return spans.select("doc_id", "window", F.sha2(F.substring(F.col("text"), (F.col("window") * 1000 + 1).cast("int"), F.lit(1000)), 256).alias("window_sha"), F.sha2("text", 256).alias("source_sha"))
+    spans = spans.select("doc_id", "window", (F.col("window") * 1000).alias("start"), F.least((F.col("window") + 1) * 1000, F.length("text")).alias("end"), F.sha2("text", 256).alias("source_sha256"))
+    rebuilt = segmenting.rebuild_windows(spans, rows, "doc_id", "text")
+    return rebuilt.select("doc_id", "window", F.sha2("window_text", 256).alias("window_sha"), F.col("source_sha256").alias("source_sha"))
 
 
 @query("""
