@@ -39,15 +39,10 @@ def is_role_only(text: Column) -> Column:
     return (F.size(words) > 0) & F.forall(words, known)
 
 
-def longest(texts: Column) -> Column:
-    """The longest text of an array, the first of several; an empty text for an empty array."""
-    return F.aggregate(texts, F.lit(""), lambda best, text: F.when(F.length(text) > F.length(best), text).otherwise(best))
-
-
-def _specific(texts: Column) -> Column:
-    """Those of an array of texts that name someone; all of them if none does."""
-    named = F.filter(texts, lambda t: ~is_role_only(t))
-    return F.when(F.size(named) > 0, named).otherwise(texts)
+def longest_specific(texts: Column) -> Column:
+    """Of an array of texts the longest that names someone, else the longest; the first of equal ones, null for an empty array."""
+    ranked = F.transform(texts, lambda t, i: F.struct((~is_role_only(t)).alias("specific"), F.length(t).alias("n"), (-i).alias("i"), t.alias("t")))
+    return F.array_max(ranked)["t"]
 
 
 def lender_keys(parties: Column) -> Column:
@@ -55,20 +50,25 @@ def lender_keys(parties: Column) -> Column:
 
     def key(party: Column) -> Column:
         folded = F.filter(F.transform(F.filter(party["spans"], lambda s: s["text"].isNotNull()), lambda s: party_text(s["text"])), lambda t: t != "")
-        return longest(_specific(folded))
+        return longest_specific(folded)
 
     keys = F.transform(F.filter(parties, lambda p: p["role"] == "lender"), key)
     return F.array_sort(F.array_distinct(F.filter(keys, lambda k: k.isNotNull() & (k != ""))))
 
 
+def signature_of(keys: Column) -> Column:
+    """The lenders of lender_keys() that are named, as one text; empty where none is."""
+    return F.coalesce(F.array_join(F.filter(keys, lambda k: ~is_role_only(k)), " | "), F.lit(""))
+
+
 def lender_signature(parties: Column) -> Column:
     """The lenders that are named, as one text; empty where none is."""
-    return F.coalesce(F.array_join(F.filter(lender_keys(parties), lambda k: ~is_role_only(k)), " | "), F.lit(""))
+    return signature_of(lender_keys(parties))
 
 
 def canonical_name(texts: Column) -> Column:
     """The longest text that names the party, else the longest; null for an empty array."""
-    return F.when(F.size(texts) > 0, longest(_specific(texts)))
+    return longest_specific(texts)
 
 
 def borrower_keys(parties: Column) -> Column:

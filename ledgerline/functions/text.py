@@ -62,7 +62,7 @@ _CLASSES = (
     ("i", "in"), ("g", "aggregate"), ("p", "principal"), ("t", "amount"), ("f", "of"), ("b", r"\d{1,3}(?:,\d{3})+(?:\.\d+)?"), ("n", r"\d[\d.,]*(?:million|billion|thousand|bn|mm|m)?"),
 )
 # An amount at the head of a name, in classes: a mark with or without a country before it, a currency's code, or a rand.
-_HEAD = r"^(?:(?:c|x|z|us)?k[nb]m?|c[nb]m?|zbm?|zn+m|zn(?:n|b)+m?)(?:i?gpt)?f?"
+_HEAD = r"^(?:(?:c|x|z|us)?k[nb]m?|c[nb]m?|zbm?|zn+m|zn(?:n|b)+m?)(?:i?gpt)?f?(?=.)"
 
 
 def name_tokens(name: Column) -> Column:
@@ -86,17 +86,27 @@ def _plain_token(token: Column) -> Column:
     return F.trim(F.regexp_replace(bare, "[^a-z0-9%]+", " "))
 
 
+#: Tokens at the head of a name among which an amount ends.
+HEAD_TOKENS = 16
+
+
+def fingerprint_of(tokens: Column) -> Column:
+    """name_fingerprint() of a column that holds name_tokens(): for plans in which those are found once."""
+    classes = F.array_join(F.transform(F.slice(tokens, 1, HEAD_TOKENS), _token_class), "")
+    head = F.length(F.regexp_extract(classes, _HEAD, 0))
+    rest = F.slice(tokens, F.when(head < F.size(tokens), head + 1).otherwise(1), F.greatest(F.size(tokens), F.lit(0)))
+    joined = F.array_join(F.filter(F.transform(rest, _plain_token), lambda t: t != ""), " ")
+    return F.when(joined != "", joined)
+
+
 def name_fingerprint(name: Column) -> Column:
     """A name for comparison: worded rates as %, no leading amount, no trailing zeros of rates, singular nouns.
 
-    The classes of the tokens, written as one word, say where an amount at the head ends; a name
-    that is nothing but an amount keeps it. Null where no token is left.
+    The classes of the first tokens, written as one word, say where an amount at the head ends; a
+    name that is nothing but an amount keeps its last word or else all of it. Null where no token
+    is left.
     """
-    tokens = name_tokens(name)
-    head = F.length(F.regexp_extract(F.array_join(F.transform(tokens, _token_class), ""), _HEAD, 0))
-    rest = F.when((head > 0) & (head < F.size(tokens)), F.slice(tokens, head + 1, F.size(tokens))).otherwise(tokens)
-    joined = F.array_join(F.filter(F.transform(rest, _plain_token), lambda t: t != ""), " ")
-    return F.when(joined != "", joined)
+    return fingerprint_of(name_tokens(name))
 
 
 def fingerprint_tokens(fingerprint: Column) -> Column:
