@@ -4,16 +4,18 @@ Similarity of two texts is the number of distinct runs of `width` words in both,
 number in either. The plan, for a threshold t:
 
 1. One pass hashes every text to its class (texts with the same words are one class) and counts,
-   in a table of fixed size, how often each run occurs in the whole collection (by hashed bucket:
-   any order is a correct one, and this one puts rare runs first).
+   in a table of fixed size, how often each run occurs in the whole collection (by hashed bucket and
+   in steps of a ninth: any order is a correct one, and this one puts rare runs first).
 2. A second pass sorts each class's runs rarest first and keeps the prefix of n - ceil(t n) + 1
    runs: two texts that reach t share a run of their prefixes. Prefix runs travel in arrays by hash
    range; there are as many ranges as RANGE_RUNS prefix runs go into, so a task's share stays the
    same however much data there is. A run the table of counts holds for frequent is cut into blocks
    of classes beforehand, and every two blocks meet under a key of their own, in another range.
-3. Within a range, equal runs give pairs of classes, cut by the length filter (sizes within t). The
-   matches of a pair are added up; the positional filter drops pairs with too little left from their
-   first match on, the count filter those whose matches plus all of the longer rest can't reach t.
+3. Within a range, equal runs give pairs of classes, cut by the length filter (sizes within t). Of a
+   pair that needs o common runs, the first k of them lie within the first n - o + k runs of either
+   side: matches behind that are dropped where they are found, so that pairs of classes with little
+   in common seldom leave their range. The rest are added up; the positional filter drops pairs with
+   too little left from their first match on, the count filter those with fewer than k matches.
 4. The classes of the remaining pairs are read again and their full run sets joined to the pairs. The
    suffix filter parts both sets at the same runs, recursively, and drops a pair as soon as the parts'
    sizes differ by more than t allows; what is left is verified once, exactly.
@@ -37,13 +39,19 @@ from ledgerline.operators.graph import connected_components
 from ledgerline.operators.pairing import pairs_within
 from ledgerline.plans.lineage import cut
 
-#: Cells of the table of counts (4 bytes each) and bits of the candidates' bitmap: fixed sizes.
-COUNT_CELLS = 1 << 20
+#: Cells of the table of counts (a byte each) and bytes of the candidates' bitmap: fixed sizes. Where many
+#: runs share a cell a rare one counts for frequent, and the prefixes fill with runs that all texts have.
+COUNT_CELLS = 1 << 26
 BITMAP_BYTES = 1 << 22
+#: The counts that a cell can hold: exact at first, then in steps of a ninth.
+LEVELS = np.r_[np.arange(16), np.ceil(16 * 1.11 ** np.arange(240))].astype(np.int64)
 #: Prefix runs (about 50 bytes each while they are joined) that one range holds.
 RANGE_RUNS = 2_000_000
 #: Classes a block of a frequent run holds.
 BLOCK_CLASSES = 4096
+#: Matches within their prefixes that pairs must have, where their sizes allow to ask for so many: more of
+#: them mean fewer candidates, but longer prefixes and so more matches to add up.
+PREFIX_MATCHES = 6
 #: Recursions of the suffix filter.
 SUFFIX_DEPTH = 4
 WIDTH, THRESHOLD = 5, 0.8
@@ -70,6 +78,10 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - COUNT_CELLS.bit_length() + 1)).astype(np.int64)
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return (np.searchsorted(LEVELS, counts, side="right") - 1).astype(np.uint8)
+
+
 def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     spread = shingles.mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(BITMAP_BYTES * 8 - 1)
     return (spread >> np.uint64(3)).astype(np.int64), np.left_shift(1, (spread & np.uint64(7)).astype(np.int64)).astype(np.uint8)
@@ -80,10 +92,9 @@ _CLASSES = "kind string, key string, c1 long, c2 long, n_runs int, range int, ce
 
 def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np.ndarray, int]:
     """((kind, key, c1, c2), counts, runs): every non-null text of df (kind, key, text) with its class, how
-    often runs fall into each cell of the table of counts, and how many there are. One pass over the texts gives all."""
+    often runs fall into each cell of the table of counts (as one of LEVELS), and how many there are. One pass over the texts gives all."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(COUNT_CELLS, dtype=np.int64)
         for batch in batches:
             rows, ones, twos, found = [], [], [], []
             for i, words in _hashed(batch, looks):
@@ -94,18 +105,17 @@ def classes(df: DataFrame, width: int, looks: str | None) -> tuple[DataFrame, np
                 found.append(_cells(shingles.runs(words, width)))
             if not rows:
                 continue
-            cells += np.bincount(np.concatenate(found), minlength=COUNT_CELLS)
             kept = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [kept["kind"], kept["key"], pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array([f.size for f in found], pa.int32()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())],
                 ["kind", "key", "c1", "c2", "n_runs", "range", "cells"],
             )
-        at, blobs = tables.slices(np.minimum(cells, np.iinfo(np.uint32).max).astype(np.uint32))
-        blank = [pa.nulls(len(at), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())]
-        yield pa.RecordBatch.from_arrays([*blank, pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "key", "c1", "c2", "n_runs", "range", "cells"])
+            at, blobs = tables.counted(np.concatenate(found), COUNT_CELLS)
+            blank = [pa.nulls(len(at), t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*blank, pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "key", "c1", "c2", "n_runs", "range", "cells"])
 
     both = cut(df.select("kind", "key", "text").mapInArrow(work, _CLASSES))
-    counts = tables.combined(both.where("range is not null"), COUNT_CELLS, "uint32", "sum")
+    counts = tables.added(both.where("range is not null"), COUNT_CELLS, _levels)
     runs = both.agg(F.sum("n_runs")).first()[0] or 0
     return both.where("range is null").select("kind", "key", "c1", "c2").distinct(), counts, runs
 
@@ -127,18 +137,16 @@ def _met(run: np.ndarray, place: np.ndarray, blocks: np.ndarray, ids: np.ndarray
 
 
 def _blocks(counts: np.ndarray) -> np.ndarray:
-    """Into how many blocks of classes the runs of each cell go.
-
-    A cell holds many rare runs and at times a frequent one, which is what exceeds twice the mean.
-    """
-    return 1 + np.maximum(counts.astype(np.int64) - 2 * int(counts.mean()), 0) // BLOCK_CLASSES
+    """Into how many blocks of classes runs of these counts go."""
+    return 1 + counts // BLOCK_CLASSES
 
 
-def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> Callable:
+def _postings(width: int, t: float, looks: str | None, counts, mean: int, ranges: int) -> Callable:
     """Texts -> per batch and range: the prefix runs as arrays (32 bits of the run, side, place of its class, position)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, into = counts.value, _blocks(counts.value)
+        # a cell holds rare runs and at times a frequent one, which is what exceeds twice the mean
+        often, into = counts.value, _blocks(np.maximum(LEVELS - 2 * mean, 0))
         for batch in batches:
             # copies within a batch come once, others are dropped where their range is joined
             seen: set[int] = set()
@@ -160,7 +168,7 @@ def _postings(width: int, t: float, looks: str | None, counts, ranges: int) -> C
                 continue
             runs, place, position = np.concatenate(firsts), np.concatenate(places), np.concatenate(positions)
             ids, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int32)
-            row, run, side = _met(shingles.mix(runs), place, into[_cells(runs)], ids)
+            row, run, side = _met(shingles.mix(runs), place, into[often[_cells(runs)]], ids)
             part = (run % np.uint64(ranges)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             part, run, side = part[order], (run[order] >> np.uint64(32)).astype(np.uint32), side[order]
@@ -191,17 +199,28 @@ def _match_batch(a: np.ndarray, b: np.ndarray, common: np.ndarray, mark: np.ndar
     return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip((a, b, common, mark), _NUMBERS.values(), strict=True)], list(_NUMBERS))
 
 
-def _needed(t: float, n_a: np.ndarray, n_b: np.ndarray, p_a: np.ndarray, p_b: np.ndarray) -> np.ndarray:
-    """Twice the matches that a pair needs within its prefixes, plus 1 if what is left from its first match on suffices.
+def _demands(t: float, n_a: np.ndarray, n_b: np.ndarray, p_a: np.ndarray, p_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(k, spare): how many matches a pair must have within its prefixes, and by how many runs what is left
+    from a match on (its run included) exceeds the o common runs that the pair's sizes and t demand.
 
-    A pair needs so many common runs as its sizes and t demand; behind the prefixes it can have those
-    of the longer rest at most. The first part is the same in every range, the second one is true in
-    the range of the pair's first match if it is true at all.
+    Of a pair's common runs the k-th from the rare end has o - k others behind it at least, on either
+    side: it and those before it have a spare of 1 - k or more, the first one of 0. The prefixes that
+    were sent end where no more than t n - 1 runs are left, which limits k for sizes that differ much.
     """
     need = np.ceil(t / (1 + t) * (n_a.astype(np.float64) + n_b) - 1e-6).astype(np.int64)
     rest = np.maximum(np.ceil(t * n_a - 1e-6), np.ceil(t * n_b - 1e-6)).astype(np.int64) - 1
     left = np.minimum(n_a.astype(np.int64) - p_a, n_b.astype(np.int64) - p_b)
-    return 2 * np.maximum(need - rest, 0) + (left >= need)
+    return np.clip(need - rest, 1, PREFIX_MATCHES), left - need
+
+
+def _needed(t: float, n_a: np.ndarray, n_b: np.ndarray, p_a: np.ndarray, p_b: np.ndarray) -> np.ndarray:
+    """Twice the matches that a pair needs within its prefixes, plus 1 if what is left from its first match on suffices.
+
+    The first part is the same in every range, the second one is true in the range of the pair's
+    first match if it is true at all.
+    """
+    k, spare = _demands(t, n_a, n_b, p_a, p_b)
+    return 2 * k + (spare >= 0)
 
 
 class _Pairs:
@@ -235,8 +254,9 @@ class _Pairs:
 
 
 def _filtered(pairs: _Pairs, t: float, ida, na, pa_, idb, nb, pb) -> None:
-    """Keep matches that pass the length filter."""
-    keep = (np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-6) & (ida != idb)
+    """Keep matches that pass the length filter and lie within the prefixes of their pair."""
+    k, spare = _demands(t, na, nb, pa_, pb)
+    keep = (np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-6) & (ida != idb) & (spare > -k)
     if keep.any():
         pairs.add(ida[keep], idb[keep], na[keep], nb[keep], pa_[keep], pb[keep])
 
@@ -292,7 +312,7 @@ def _range_matches(parts: list[tuple], t: float) -> Iterator[pa.RecordBatch]:
 
 def _candidates(matches: DataFrame) -> DataFrame:
     """(a, b): pairs that pass the positional filter (what is left from the first match on suffices)
-    and the count filter (the matches in the prefixes and all of the longer rest suffice)."""
+    and the count filter (there are as many matches in the prefixes as the pair needs there)."""
     added = matches.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("mark").alias("mark"))
     return added.where((F.col("mark") % 2 == 1) & (F.col("common") >= F.floor(F.col("mark") / 2))).select("a", "b")
 
@@ -374,7 +394,7 @@ def class_pairs(
     # of n runs about (1 - t) n are prefix; small collections still give every task something
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(runs * (1 - threshold)) // range_runs))
     counts = sc.broadcast(counts)
-    postings = df.select("kind", "text").mapInArrow(_postings(width, threshold, looks, counts, ranges), _POSTINGS)
+    postings = df.select("kind", "text").mapInArrow(_postings(width, threshold, looks, counts, runs // COUNT_CELLS, ranges), _POSTINGS)
     matches = postings.repartitionById(ranges, F.col("range")).mapInArrow(_join(threshold), _MATCHES)
     pairs = cut(_candidates(matches))
 

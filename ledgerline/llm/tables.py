@@ -55,6 +55,39 @@ def combined(parts: DataFrame, size: int, dtype: str, combine: str) -> np.ndarra
     return table.reshape(-1)
 
 
+def counted(cells: np.ndarray, size: int) -> tuple[list[int], list[bytes]]:
+    """How often each cell occurs, for tables of which a task fills a small part: the numbers of the ranges met and,
+    compressed, the steps from cell to cell and the counts of each."""
+    cells, counts = np.unique(cells, return_counts=True)
+    at, starts = np.unique(cells // (size // RANGES), return_index=True)
+    blobs = []
+    for i, a, b in zip(at, starts, [*starts[1:], cells.size], strict=True):
+        steps = np.diff(cells[a:b], prepend=i * (size // RANGES))
+        blobs.append(zlib.compress(steps.astype(np.uint32).tobytes() + np.minimum(counts[a:b], np.iinfo(np.uint32).max).astype(np.uint32).tobytes(), 1))
+    return at.tolist(), blobs
+
+
+def added(parts: DataFrame, size: int, code: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The table made of what counted() gave for all batches (columns range and cells); code makes a byte of every sum."""
+    if size % RANGES:
+        raise ValueError(f"size must be a multiple of {RANGES}")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, blob in zip(batch["range"].to_pylist(), batch["cells"], strict=True):
+                steps, counts = np.frombuffer(zlib.decompress(blob.as_buffer()), dtype=np.uint32).reshape(2, -1)
+                own = sums.setdefault(i, np.zeros(size // RANGES, dtype=np.int64))
+                own[np.cumsum(steps, dtype=np.int64)] += counts
+        for i, own in sums.items():
+            yield pa.RecordBatch.from_pydict({"range": pa.array([i], pa.int32()), "cells": pa.array([code(own).tobytes()], pa.binary())})
+
+    table = np.zeros((RANGES, size // RANGES), dtype=np.uint8)
+    for row in parts.select("range", "cells").repartition(F.col("range")).mapInArrow(whole, "range int, cells binary").collect():
+        table[row["range"]] = np.frombuffer(row["cells"], dtype=np.uint8)
+    return table.reshape(-1)
+
+
 def fixed_table(df: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int, dtype: str, combine: str) -> np.ndarray:
     """The table of `size` cells that add(batch, cells) fills, over all of df's rows.
 

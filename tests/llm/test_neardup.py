@@ -82,3 +82,35 @@ def test_suffix_filter_is_a_lower_bound():
         for most in (0, 5, 1000):
             bound = neardup._least_difference(a, b, most)
             assert bound <= true and neardup._least_difference(a, b, 1000, depth=20) == true
+
+
+def test_matches_behind_a_pairs_prefixes_stay_in_their_range():
+    """Of texts of 300 runs each that share one in the last third of what is sent no match leaves the range; one they could begin with does."""
+    shared = {position: [(np.array([9, 9], np.uint32), np.zeros(2, np.int8), np.array([1, 2]), np.full(2, 300, np.int32), np.full(2, position, np.int32))] for position in (0, 52, 57, 58, 89)}
+    sent = {position: sum(b.num_rows for b in neardup._range_matches(parts, 0.7)) for position, parts in shared.items()}
+    # 248 of 300 runs must be common; six matches are asked for
+    assert sent == {0: 1, 52: 1, 57: 1, 58: 0, 89: 0}
+
+
+def test_prefix_matches_drop_no_pair_that_reaches_the_threshold():
+    rng = random.Random(11)
+    for _ in range(400):
+        t, universe = rng.choice([0.5, 0.7, 0.8]), range(rng.randrange(2, 200))
+        a = set(rng.sample(universe, rng.randrange(1, len(universe) + 1)))
+        b = {x for x in a if rng.random() < 0.95} | set(rng.sample(universe, rng.randrange(0, 1 + len(universe) // 5)))
+        if not b or len(a & b) / len(a | b) < t:
+            continue
+        a, b = sorted(a), sorted(b)
+        both = [(a.index(x), b.index(x)) for x in a[: neardup._prefix(len(a), t)] if x in b[: neardup._prefix(len(b), t)]]
+        n = np.full(len(both), len(a)), np.full(len(both), len(b))
+        k, spare = neardup._demands(t, *n, *(np.array(p) for p in zip(*both, strict=True)))
+        assert (spare > -k).sum() >= k[0] and spare.max() >= 0
+
+
+def test_the_table_of_counts_tells_rare_runs_from_frequent_ones(spark):
+    """A text of a hundred thousand runs that come once fills no cell so far that one looks like a run of 60 texts."""
+    rows = [("document", "long", " ".join(f"x{i}" for i in range(100_000)))] + [("document", f"d{i}", f"all of them own{i}") for i in range(60)]
+    member, counts, total = neardup.classes(spark.createDataFrame(rows, "kind string, key string, text string"), 3, None)
+    held = neardup.LEVELS[counts]
+    assert total == 99_998 + 120 and member.count() == 61
+    assert (held >= 50).sum() == 1 and held[held < 50].max() <= 3 and (held > 0).sum() > 99_500
